@@ -21,7 +21,7 @@ def typed(df: DataFrame, columns: str) -> DataFrame:
     for group in columns.split():
         kind, names = group.split(":")
         for name in names.split(","):
-            value = F.round(F.col(name).cast("double"), 6) if kind == "d" else F.col(name).cast(kinds[kind])
+            value = F.round(F.col(name).cast("double") + 1e-10, 6) if kind == "d" else F.col(name).cast(kinds[kind])
             chosen.append(value.alias(name))
     return df.select(*chosen)
 
