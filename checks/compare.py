@@ -7,7 +7,7 @@ import time
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -28,9 +28,8 @@ def result_rows(columns, rows) -> list[tuple]:
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-def differences(spark: SparkSession, con, sf_dir: str, query, sql: str) -> str | None:
-    """What differs between a query and its oracle; None if nothing does."""
-    df = query(spark, sf_dir)
+def differences(df: DataFrame, con, sql: str) -> str | None:
+    """What differs between a query's result and its oracle; None if nothing does."""
     found = result_rows(df.columns, [tuple(r) for r in df.collect()])
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
@@ -61,7 +60,7 @@ def main(argv: list[str]) -> int:
         start = time.time()
         try:
             if name in ORACLES:
-                problem = differences(spark, con, sf_dir, QUERIES[name], ORACLES[name])
+                problem = differences(QUERIES[name](spark, sf_dir), con, ORACLES[name])
             else:
                 problem = None
                 QUERIES[name](spark, sf_dir).collect()

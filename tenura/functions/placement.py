@@ -37,43 +37,47 @@ def dense_index(keys: DataFrame, column: str, name: str) -> DataFrame:
     return places.join(F.broadcast(offsets), "_part").select(column, (F.col("_offset") + F.col("_nth")).alias(name))
 
 
-def exact_percentiles(df: DataFrame, column: str, fractions: Sequence[float]) -> DataFrame:
-    """Exact linearly interpolated percentiles of ``column`` as rows ``(fraction, value)``.
+def exact_percentiles(df: DataFrame, column: str, fractions: Sequence[float], group: str | None = None) -> DataFrame:
+    """Exact linearly interpolated percentiles of ``column`` as rows ``([group], fraction, value)``.
 
     The value domain may be as large as the table: equal values are counted first, the counts are
-    range-partitioned, and only the partitions holding a wanted rank are read again.
+    range-partitioned, and only the partitions holding a wanted rank are read again. ``group`` is for
+    a handful of groups, whatever their sizes.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    places = placed(counts, [column], "percentiles")
-    parts = places.groupBy("_part").agg(F.sum("_n").alias("_size"))
-    by_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
+    groups = [group] if group else []
+    counts = df.where(F.col(column).isNotNull()).groupBy(*groups, column).agg(F.count(F.lit(1)).alias("_n"))
+    places = placed(counts, [*groups, column], "percentiles")
+    parts = places.groupBy(*groups, "_part").agg(F.sum("_n").alias("_size"))
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = parts.select(
+        *groups,
         "_part",
         "_size",
-        F.coalesce(F.sum("_size").over(by_part), F.lit(0)).alias("_before"),
-        F.sum("_size").over(Window.partitionBy()).alias("_total"),
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+        F.sum("_size").over(whole).alias("_total"),
     )
-    wanted = parts.select(
-        "*", F.explode(F.array(*[F.lit(float(p)) for p in fractions])).alias("fraction")
-    ).withColumn("_rank", F.col("fraction") * (F.col("_total") - 1))
-    wanted = wanted.select(
-        "*", F.explode(F.array(F.floor("_rank"), F.ceil("_rank"))).alias("_seek")
-    ).where((F.col("_before") <= F.col("_seek")) & (F.col("_seek") < F.col("_before") + F.col("_size")))
-    wanted = wanted.select("fraction", "_rank", "_seek", "_part", "_before").distinct()
-    # At most two rows per fraction.
-    hit = F.broadcast(wanted.select("_part").distinct())
-    up_to = Window.partitionBy("_part").orderBy("_nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = places.join(hit, "_part", "left_semi").withColumn("_upto", F.sum("_n").over(up_to))
-    position = F.col("_seek") - F.col("_before")
-    found = inside.join(F.broadcast(wanted), "_part").where(
-        (position < F.col("_upto")) & (position >= F.col("_upto") - F.col("_n"))
+    # In a step of its own: unfolded rows must not enter the sums above.
+    wanted = wanted.withColumn("fraction", F.explode(F.array(*[F.lit(float(p)) for p in fractions])))
+    wanted = (
+        wanted.withColumn("_rank", F.col("fraction") * (F.col("_total") - 1))
+        .select("*", F.explode(F.array(F.floor("_rank"), F.ceil("_rank"))).alias("_seek"))
+        .where((F.col("_before") <= F.col("_seek")) & (F.col("_seek") < F.col("_before") + F.col("_size")))
+        .select(*groups, "fraction", "_rank", "_part", (F.col("_seek") - F.col("_before")).alias("_seek"))
+        .distinct()
+    )
+    # At most two rows per group and fraction.
+    hit = F.broadcast(wanted.select(*groups, "_part").distinct())
+    cell = [*groups, "_part"]
+    up_to = Window.partitionBy(*cell).orderBy("_nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = places.join(hit, cell, "left_semi").withColumn("_upto", F.sum("_n").over(up_to))
+    found = inside.join(F.broadcast(wanted), cell).where(
+        (F.col("_seek") < F.col("_upto")) & (F.col("_seek") >= F.col("_upto") - F.col("_n"))
     )
-    return found.groupBy("fraction").agg(
-        (
-            F.min(F.col(column).cast("double"))
-            + (F.max(F.col(column).cast("double")) - F.min(F.col(column).cast("double")))
-            * F.first(F.col("_rank") - F.floor("_rank"))
-        ).alias("value")
+    value = F.col(column).cast("double")
+    share = F.first(F.col("_rank") - F.floor("_rank"))
+    return found.groupBy(*groups, "fraction").agg(
+        (F.min(value) + (F.max(value) - F.min(value)) * share).alias("value")
     )
 
 

@@ -71,21 +71,26 @@ def user_last_txn(members: DataFrame, seq: DataFrame) -> DataFrame:
     )
 
 
+def _bucket(position: Column) -> Column:
+    """First position of the bucket a position falls into."""
+    return position - position % POSITIONS_PER_BUCKET
+
+
 def _prefix_rows(members: DataFrame, seq: DataFrame, last: Column, payment_columns: tuple[str, ...]) -> DataFrame:
     """Each member with the payments of its group at positions 0 to ``last``.
 
     Positions are cut into buckets that take part in the join key: a group of millions of payments is
     read by many tasks, an ordinary one by a single one.
     """
-    bucket = F.lit(POSITIONS_PER_BUCKET)
+    last_bucket = _bucket(F.greatest(last, F.lit(0)))
     asked = members.withColumn(
-        "_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.greatest(last, F.lit(0)) / bucket)))
+        "_bucket", F.explode(F.sequence(F.lit(0).cast("long"), last_bucket, F.lit(POSITIONS_PER_BUCKET).cast("long")))
     )
     paid = seq.select(
         F.col("user_id").alias("_user"),
         F.col("sequence_group_id").alias("_group"),
         F.col("sequence_id").alias("_pos"),
-        F.floor(F.col("sequence_id") / bucket).alias("_pbucket"),
+        _bucket(F.col("sequence_id")).alias("_pbucket"),
         *[F.col(c).alias(f"_{c}") for c in payment_columns],
     )
     return asked.join(
@@ -98,30 +103,29 @@ def _prefix_rows(members: DataFrame, seq: DataFrame, last: Column, payment_colum
     )
 
 
+def _history(earlier: Column) -> list[Column]:
+    """Aggregates over the payments before the reference payment."""
+    return [
+        F.count_if(earlier).alias("tx_seq_length"),
+        F.coalesce(F.max(F.when(earlier & (F.col("_is_cancel") == 1), 1)), F.lit(0)).alias("cancel_exist"),
+        days_between(
+            F.max(F.when(earlier, F.col("_membership_expire_date"))),
+            F.min(F.when(earlier, F.col("_transaction_date"))),
+        ).alias("membership_duration"),
+    ]
+
+
 def membership_history(members: DataFrame, seq: DataFrame) -> DataFrame:
     """Payments of the group before the reference payment: count, any cancel, span in days."""
     base = _with_window(members).select("user_id", "last_seq_id", "p_tx_id")
     rows = _prefix_rows(
         base, seq, F.col("p_tx_id") - 1, ("is_cancel", "transaction_date", "membership_expire_date")
     )
-    earlier = F.col("_pos") < F.col("p_tx_id")
-    return (
-        rows.groupBy("user_id", "last_seq_id", "p_tx_id")
-        .agg(
-            F.count_if(earlier).alias("tx_seq_length"),
-            F.coalesce(F.max(F.when(earlier & (F.col("_is_cancel") == 1), 1).otherwise(0)), F.lit(0)).alias(
-                "cancel_exist"
-            ),
-            days_between(
-                F.max(F.when(earlier, F.col("_membership_expire_date"))),
-                F.min(F.when(earlier, F.col("_transaction_date"))),
-            ).alias("membership_duration"),
-        )
-        .select(
-            "user_id", "last_seq_id", "tx_seq_length", "cancel_exist", "membership_duration",
-            F.when(F.col("last_seq_id") > 0, 1).otherwise(0).alias("had_churn"),
-        )
+    # One row per member, so the user alone groups, and the joins on the user need no exchange after.
+    history = rows.groupBy("user_id").agg(
+        F.max("last_seq_id").alias("last_seq_id"), *_history(F.col("_pos") < F.col("p_tx_id"))
     )
+    return history.withColumn("had_churn", F.when(F.col("last_seq_id") > 0, 1).otherwise(0))
 
 
 def daily_usage(logs: DataFrame) -> DataFrame:
@@ -293,7 +297,8 @@ def null_policy(df: DataFrame, columns: tuple[str, ...], fill: float | None = 0.
     """Fill NULLs of the columns with a default, or keep them when ``fill`` is None."""
     if fill is None:
         return df
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(fill).cast(df.schema[c].dataType)) for c in columns})
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(fill).cast(kinds[c])) for c in columns})
 
 
 def _complete(users: DataFrame, profile: DataFrame, fill: float | None) -> DataFrame:
@@ -395,37 +400,38 @@ def ml_features(
     )
 
 
+SNAPSHOT_PAYMENT = (
+    "is_cancel", "transaction_date", "membership_expire_date", "payment_plan_days", "payment_method_id",
+)
+
+
 def payment_snapshot(members: DataFrame, seq: DataFrame) -> DataFrame:
-    """Reference payment, the payment before and the history before it, in one pass over ``seq``.
+    """Reference payment (``own_*``), the payment before (``previous_*``) and the history before it, in
+    one pass over ``seq``.
 
     Replaces the four lookups and one prefix join of the single operators by one bucketed join and
-    one aggregation.
+    one aggregation of plain columns.
     """
-    base = _with_window(members).select(
-        "user_id", "is_churn", "registration_init_time", "last_expire_date", "last_seq_id", "p_tx_id", "pp_tx_id"
-    )
-    columns = (
-        "is_cancel", "transaction_date", "membership_expire_date", "payment_plan_days", "payment_method_id",
-    )
-    rows = _prefix_rows(base, seq, F.col("p_tx_id"), columns)
+    carried = ("is_churn", "registration_init_time", "last_expire_date", "last_seq_id")
+    base = _with_window(members).select("user_id", *carried, "p_tx_id", "pp_tx_id")
+    rows = _prefix_rows(base, seq, F.col("p_tx_id"), SNAPSHOT_PAYMENT)
     pos = F.col("_pos")
-    earlier = pos < F.col("p_tx_id")
-    payment = F.struct(*[F.col(f"_{c}").alias(c) for c in columns])
-    return (
-        rows.groupBy(*base.columns)
-        .agg(
-            F.max(F.when(pos == F.col("p_tx_id"), payment)).alias("own"),
-            F.max(F.when(pos == F.col("pp_tx_id"), payment)).alias("previous"),
-            F.count_if(earlier).alias("tx_seq_length"),
-            F.coalesce(F.max(F.when(earlier & (F.col("_is_cancel") == 1), 1).otherwise(0)), F.lit(0)).alias(
-                "cancel_exist"
-            ),
-            days_between(
-                F.max(F.when(earlier, F.col("_membership_expire_date"))),
-                F.min(F.when(earlier, F.col("_transaction_date"))),
-            ).alias("membership_duration"),
-        )
-        .withColumn("membership_period", days_between("last_expire_date", "own.transaction_date"))
+
+    def picked(prefix: str, position: str) -> list[Column]:
+        return [F.max(F.when(pos == F.col(position), F.col(f"_{c}"))).alias(f"{prefix}_{c}") for c in SNAPSHOT_PAYMENT]
+
+    snapshot = rows.groupBy("user_id").agg(
+        *[F.max(c).alias(c) for c in carried],
+        F.bool_or(pos == F.col("p_tx_id")).alias("found"),
+        *picked("own", "p_tx_id"),
+        *picked("previous", "pp_tx_id"),
+        *_history(pos < F.col("p_tx_id")),
+    )
+    return snapshot.withColumns(
+        {
+            "found": F.coalesce("found", F.lit(False)),
+            "membership_period": days_between("last_expire_date", "own_transaction_date"),
+        }
     )
 
 
@@ -441,39 +447,42 @@ def feature_table(
     The same table as composing the single operators, with each input exchanged once.
     """
     snapshot = payment_snapshot(members, seq)
-    found = F.col("own").isNotNull()
+    found = F.col("found")
     window = snapshot.where(found).select(
         "user_id",
-        F.col("own.transaction_date").alias("log_start_date"),
+        F.col("own_transaction_date").alias("log_start_date"),
         F.col("last_expire_date").alias("log_end_date"),
         "membership_period",
     )
     profile = usage_profile(logs_in_membership(daily_usage(logs), window), weekday_mode)
     features = _complete(snapshot, profile, None)
-    if fill is not None:
-        gaps = set(LOG_GAP_TERMS)
-        features = features.withColumns(
-            {c: F.when(found, F.coalesce(F.col(c), F.lit(fill))) for c in LOG_FEATURES if c not in gaps}
-        )
-    own, previous = F.col("own"), F.col("previous")
+
+    def filled(name: str) -> Column:
+        if fill is None or name in LOG_GAP_TERMS:
+            return F.col(name)
+        return F.when(found, F.coalesce(F.col(name), F.lit(fill))).alias(name)
+
+    own_cancel, own_paid = F.col("own_is_cancel"), F.col("own_transaction_date")
     zero = F.lit(0)
     payments = {
-        "payment_plan_months": _plan_months(own.is_cancel, own.payment_plan_days, previous.payment_plan_days),
-        "last_is_cancel": own.is_cancel,
-        "payment_method_id": own.payment_method_id,
+        "payment_plan_months": _plan_months(
+            own_cancel, F.col("own_payment_plan_days"), F.col("previous_payment_plan_days")
+        ),
+        "last_is_cancel": own_cancel,
+        "payment_method_id": F.col("own_payment_method_id"),
         "membership_months": months(F.coalesce("membership_duration", zero)),
         "tx_seq_length": F.col("tx_seq_length"),
         "cancel_exist": F.col("cancel_exist"),
         "had_churn": F.when(F.col("last_seq_id") > 0, 1).otherwise(0),
         "registration_dur": months(F.datediff("last_expire_date", "registration_init_time")),
         "actual_plan_months": _actual_months(
-            own.is_cancel, own.membership_expire_date, own.transaction_date, previous.transaction_date
+            own_cancel, F.col("own_membership_expire_date"), own_paid, F.col("previous_transaction_date")
         ),
     }
     # A member whose reference payment is missing keeps its row with NULL features.
     return features.select(
         "user_id",
         "is_churn",
-        *LOG_FEATURES,
+        *[filled(name) for name in LOG_FEATURES],
         *[F.when(found, value).alias(name) for name, value in payments.items()],
     )
