@@ -341,7 +341,7 @@ check(
 
 
 def _flags(w: World) -> DataFrame:
-    return cohort.exclusion_flags(cohort.with_previous(w.seq), w.usage)
+    return cohort.exclusion_flags(cohort.with_previous(w.seq), cohort.null_usage_users(w.usage))
 
 
 check(

@@ -35,18 +35,35 @@ def drop_users(tables: Tables, users: DataFrame, key: str = "user_id") -> dict[s
     return {n: df.join(dropped, key, "left_anti") if key in df.columns else df for n, df in tables.items()}
 
 
-def common_users(tables: Tables, key: str = "user_id") -> DataFrame:
-    """Users present in all tables.
+def table_presence(tables: Tables, key: str = "user_id", flags: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per user: ``in_all``, and for each table named in ``flags`` whether any of its rows meets
+    the condition (``flag_<table>``).
 
     One bit per table, combined per user: one exchange of pre-reduced rows instead of a chain of
-    intersections.
+    intersections, and one scan for everything asked about the users.
     """
-    keyed = [df for df in tables.values() if key in df.columns]
+    keyed = {n: df for n, df in tables.items() if key in df.columns}
     if len(keyed) < 2:
         raise ValueError("common users need at least two tables with the key")
-    marked = [df.select(key, F.lit(1 << n).cast("long").alias("_bit")) for n, df in enumerate(keyed)]
-    seen = reduce(DataFrame.union, marked).groupBy(key).agg(F.bit_or("_bit").alias("_bits"))
-    return seen.where((F.col("_bits") == (1 << len(keyed)) - 1) & F.col(key).isNotNull()).select(key)
+    flags = flags or {}
+    marked = [
+        df.select(
+            key,
+            F.lit(1 << n).cast("long").alias("_bit"),
+            *[(flags[f] if f == name else F.lit(None).cast("boolean")).alias(f"flag_{f}") for f in flags],
+        )
+        for n, (name, df) in enumerate(keyed.items())
+    ]
+    seen = reduce(DataFrame.union, marked).groupBy(key).agg(
+        (F.bit_or("_bit") == (1 << len(keyed)) - 1).alias("in_all"),
+        *[F.coalesce(F.bool_or(f"flag_{f}"), F.lit(False)).alias(f"flag_{f}") for f in flags],
+    )
+    return seen.where(F.col(key).isNotNull())
+
+
+def common_users(tables: Tables, key: str = "user_id") -> DataFrame:
+    """Users present in all tables."""
+    return table_presence(tables, key).where("in_all").select(key)
 
 
 def keep_common_users(tables: Tables, key: str = "user_id", require_nonempty: bool = False) -> dict[str, DataFrame]:
@@ -285,7 +302,7 @@ EXCLUSION_STEPS = (
 
 def exclusion_flags(
     seq: DataFrame,
-    logs: DataFrame,
+    null_usage: DataFrame,
     bounds: Mapping[int, tuple[int, int]] = PIPELINE_PLAN_DAYS_BOUNDS,
     min_txn_count: int = 2,
     min_year: int = 2015,
@@ -296,7 +313,8 @@ def exclusion_flags(
 
     Each rule looks at one user's rows only and removes whole users, so all rules can be judged at
     once on the unfiltered tables and one anti join per table replaces seven. ``seq`` needs the
-    columns of ``anomaly_steps`` and ``actual_plan_days``; out-of-range usage must be NULL already.
+    columns of ``anomaly_steps`` and ``actual_plan_days``; ``null_usage`` are the users of
+    ``null_usage_users``.
     """
     rules = (
         expire_year_outside(min_year, max_year),
@@ -309,7 +327,7 @@ def exclusion_flags(
     step = reduce(lambda acc, n_rule: acc.when(n_rule[1], n_rule[0]), enumerate(rules, start=3), F)
     found = [
         same_day_duplicate_users(seq, min_txn_count, key=key).select(key, F.lit(1).alias("step")),
-        logs.where(F.col("total_secs").isNull()).select(key, F.lit(2).alias("step")),
+        null_usage.select(key, F.lit(2).alias("step")),
         seq.select(key, step.alias("step")).where(F.col("step").isNotNull()),
     ]
     return reduce(DataFrame.union, found).groupBy(key).agg(F.min("step").alias("first_failed_step"))

@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 from tenura.functions.placement import dense_index
 
 
+def number_keys(keys: DataFrame, key: str = "msno", id_column: str = "user_id") -> DataFrame:
+    """Ids 0, 1, 2, ... in key order for distinct keys; NULL and empty keys get none."""
+    return dense_index(keys.where(F.col(key).isNotNull() & (F.col(key) != "")).select(key), key, id_column)
+
+
 def build_id_map(tables: Mapping[str, DataFrame], key: str = "msno", id_column: str = "user_id") -> DataFrame:
-    """Ids 0, 1, 2, ... in key order over the keys of all tables; NULL and empty keys get none."""
+    """``number_keys`` over the keys of all tables."""
     keyed = [df.select(key) for df in tables.values() if key in df.columns]
     if not keyed:
         raise ValueError(f"no table has a column {key}")
-    keys = reduce(DataFrame.union, keyed).where(F.col(key).isNotNull() & (F.col(key) != "")).distinct()
-    return dense_index(keys, key, id_column)
+    return number_keys(reduce(DataFrame.union, keyed).distinct(), key, id_column)
 
 
 def id_map_duplicates(id_map: DataFrame, key: str = "msno") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tenura.functions.ordered import HOT_ROWS, ordered
 from tenura.operators import cohort
-from tenura.operators.keys import apply_id_map, build_id_map
+from tenura.operators.keys import apply_id_map, number_keys
 from tenura.operators.membership import REFERENCE_WINDOW, attach_label, last_txn_in_window
 from tenura.operators.merge import merge_versions
 from tenura.operators.sequence import SESSION_COLUMNS, plan_days_steps, session_steps, transaction_order
@@ -63,20 +63,19 @@ def sequence_table(
 
 
 def exclude(
-    transactions: DataFrame, logs: DataFrame, settings: PreprocessSettings = PreprocessSettings()
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sequence table, usage with out-of-range time set to NULL, and the users to exclude.
+    transactions: DataFrame, null_usage: DataFrame, settings: PreprocessSettings = PreprocessSettings()
+) -> tuple[DataFrame, DataFrame]:
+    """Sequence table with its look-back columns, and the first exclusion rule each user breaks.
 
-    All three are stored: the first two are read again for the final tables, the flags by each.
+    Both are stored, as they are read again for the final tables.
     """
     seq = materialize(
         sequence_table(transactions, settings.gap_days, settings.cutoff_date, settings.hot_rows), "seq"
     )
-    usage = materialize(nullify_out_of_range(logs, "total_secs", *settings.usage_bounds), "usage")
     flags = cohort.exclusion_flags(
-        seq, usage, settings.plan_days_bounds, settings.min_txn_count, *settings.expire_years
+        seq, null_usage, settings.plan_days_bounds, settings.min_txn_count, *settings.expire_years
     )
-    return seq, usage, materialize(flags, "flags")
+    return seq, materialize(flags, "flags")
 
 
 def preprocess(
@@ -87,6 +86,9 @@ def preprocess(
     Returns ``train_merge``, ``transactions_merge``, ``user_logs_merge``, ``members_merge``,
     ``transactions_seq``, ``user_id_map`` and ``exclusion_counts``. Both raw train versions are
     needed for the label transition.
+
+    What decides about a user is found first, so that the large usage table is scanned once for its
+    keys and times and joined once, to the users that remain.
     """
     missing = [n for n in ("raw_train_v1", "raw_train_v2") if n not in tables]
     if missing:
@@ -95,33 +97,42 @@ def preprocess(
     names = [f"{base.removeprefix('raw_')}_merge" for base in BASE_NAMES]
     targets = {name: merged[name] for name in names}
 
-    # Ids cover all users; the cohort then travels with the map, so each table is joined once.
-    id_map = materialize(build_id_map(targets), "id-map")
+    # One scan per table: its users, and whether their usage has NULL or impossible times.
+    low, high = settings.usage_bounds
+    usable = F.coalesce(F.col("total_secs").between(low, high), F.lit(False))
+    presence = materialize(
+        cohort.table_presence(targets, "msno", {"user_logs_merge": ~usable}), "presence"
+    )
+    id_map = number_keys(presence)
     moved = cohort.transition_users(
         tables["raw_train_v1"], tables["raw_train_v2"], settings.v1_label, settings.v2_labels, key="msno"
-    ).select("msno")
-    chosen = cohort.common_users(targets, "msno").join(moved.distinct(), "msno", "left_semi")
-    cohort_map = materialize(id_map.join(chosen, "msno", "left_semi"), "cohort")
-    typed = {name: parse_int_dates(df) for name, df in apply_id_map(targets, cohort_map).items()}
-    typed = rename_key_column(typed)
-    typed["members_merge"] = encode_gender(typed["members_merge"])
-
-    seq, usage, flags = exclude(typed["transactions_merge"], typed["user_logs_merge"], settings)
-    seq = seq.drop(*PREVIOUS_COLUMNS)
-    kept = cohort.drop_users(
-        {
-            "train_merge": typed["train_merge"],
-            "user_logs_merge": usage,
-            "members_merge": typed["members_merge"],
-            "transactions_seq": seq,
-        },
-        flags,
     )
-    # The sequence table holds the same payments with more columns.
-    kept["transactions_merge"] = kept["transactions_seq"].select(*typed["transactions_merge"].columns)
-    members = last_txn_in_window(kept["members_merge"], kept["transactions_seq"], settings.reference_window)
-    kept["members_merge"] = attach_label(members, kept["train_merge"])
-    kept["user_logs_merge"] = convert_unit(kept["user_logs_merge"], "total_secs", "total_hours", divisor=3600)
-    kept["user_id_map"] = id_map
-    kept["exclusion_counts"] = cohort.exclusion_counts(flags)
-    return kept
+    candidates = materialize(
+        id_map.join(presence.where("in_all"), "msno").join(moved.select("msno"), "msno", "left_semi"), "candidates"
+    )
+
+    def typed(name: str, users: DataFrame) -> DataFrame:
+        mapped = apply_id_map({name: targets[name]}, users.select("msno", "user_id"))
+        return rename_key_column({name: parse_int_dates(mapped[name])})[name]
+
+    null_usage = candidates.where("flag_user_logs_merge").select("user_id")
+    transactions = typed("transactions_merge", candidates)
+    seq, flags = exclude(transactions, null_usage, settings)
+    users = materialize(candidates.join(flags, "user_id", "left_anti"), "users")
+
+    seq = seq.drop(*PREVIOUS_COLUMNS).join(flags, "user_id", "left_anti")
+    train = typed("train_merge", users)
+    members = last_txn_in_window(
+        encode_gender(typed("members_merge", users)), seq, settings.reference_window
+    )
+    logs = nullify_out_of_range(typed("user_logs_merge", users), "total_secs", low, high)
+    return {
+        "train_merge": train,
+        # The sequence table holds the same payments with more columns.
+        "transactions_merge": seq.select(*transactions.columns),
+        "user_logs_merge": convert_unit(logs, "total_secs", "total_hours", divisor=3600),
+        "members_merge": attach_label(members, train),
+        "transactions_seq": seq,
+        "user_id_map": id_map,
+        "exclusion_counts": cohort.exclusion_counts(flags),
+    }

@@ -18,6 +18,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
+# Settings fixed when a session starts. The first saves looking up the call site of every expression.
+START_SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
@@ -33,7 +38,7 @@ def build_session(app: str = "tenura", master: str | None = None, input_bytes: i
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in RUNTIME_SETTINGS.items():
+    for name, value in {**RUNTIME_SETTINGS, **START_SETTINGS}.items():
         builder = builder.config(name, value)
     if input_bytes:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))

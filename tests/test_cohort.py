@@ -24,6 +24,12 @@ def test_common_users_ignore_null_and_duplicates(users):
     assert ids(kept["c"]) == [2, 2]
 
 
+def test_presence_flags(users, spark):
+    logs = spark.createDataFrame([(1, 5.0), (1, None), (2, 3.0)], "user_id long, x double")
+    seen = cohort.table_presence({"a": users(1, 3), "logs": logs}, flags={"logs": F.col("x").isNull()})
+    assert rows_of(seen, "user_id", "in_all", "flag_logs") == [(1, True, True), (2, False, False), (3, False, False)]
+
+
 def test_common_users_need_two_tables_and_a_user(users):
     with pytest.raises(ValueError, match="two tables"):
         cohort.common_users({"a": users(1)})
@@ -82,7 +88,8 @@ def test_impact_and_removed_sample(users):
 
 def test_fused_filters_equal_sequential_filters(spark):
     tx, logs = star_schema.transactions(spark, SF_CHECK), star_schema.user_logs(spark, SF_CHECK)
-    seq, usage, flags = exclude(tx, logs)
+    usage = transform.nullify_out_of_range(logs, "total_secs", 0, 86400)
+    seq, flags = exclude(tx, cohort.null_usage_users(usage))
     counts = {r.step_name: r.user_count for r in cohort.exclusion_counts(flags).collect()}
     tables = {"tx": tx, "usage": usage, "seq": seq.drop(*PREVIOUS_COLUMNS)}
     rules = (
