@@ -206,7 +206,7 @@ def usage_profile(filtered: DataFrame, weekday_mode: str = "documented") -> Data
     # rather than listed.
     user = user.withColumns(
         {
-            "_gaps": F.array_sort(F.concat("_gaps", F.array(period - F.col("_first_left"), F.col("_last_left")))),
+            "_gaps": F.sort_array(F.concat("_gaps", F.array(period - F.col("_first_left"), F.col("_last_left")))),
             "_zeros": F.col("n_rows") - F.col("_days"),
         }
     )
