@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, TimestampType
+from pyspark.sql.types import IntegralType
 
 from tenura.functions.bins import percent
 from tenura.functions.placement import exact_median
@@ -78,10 +78,6 @@ def int_date_report(df: DataFrame, names: Sequence[str] = DATE_COLUMNS) -> DataF
     return figures.select("total", F.inline(rows)).select("column_name", "total", "f.*")
 
 
-def is_date_column(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, (DateType, TimestampType, TimestampNTZType))
-
-
 def nullify_out_of_range(
     df: DataFrame, column: str, min_val: float | None = None, max_val: float | None = None
 ) -> DataFrame:
