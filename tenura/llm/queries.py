@@ -6,9 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import bpe, pii, quality
+from tenura.llm import bpe, mixing, pii, quality, setsketch, urls, warc
 from tenura.session import apply_settings
 
+# The rules of the url query.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+MIX_POWERS = {"source": 0.8, "lang": 0.8, "topic": 0.9}
+# Stored pages have no fetch time; their records share one.
+CRAWL_DATE = "2024-01-01T00:00:00Z"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return apply_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,17 +30,46 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_signals(_table(spark, sf_dir, "documents"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge_pages(_table(spark, sf_dir, "pages"), rules)
+
+
+def mix_dimensions() -> dict:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.content_type(F.col("text"))}
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    mixed = mixing.sample(documents, mix_dimensions(), powers=MIX_POWERS)
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_texts(documents, path, public_tokenizers.PATTERN, digests=True)
 
 
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.build_derivatives(warc.responses_of(_table(spark, sf_dir, "pages"), CRAWL_DATE))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
     counts = [f"n_{kind}" for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_byte_bpe, op9_personal_data)}
+def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), size=2)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_url_filters, op3_source_mixing, op6_byte_bpe, op7_warc_derivatives, op9_personal_data,
+        op10_setsketch_dedup,
+    )
+}
 ORACLES: dict[str, str] = {}
