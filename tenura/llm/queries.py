@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import bpe, mixing, pii, quality, setsketch, urls, warc
+from tenura.llm import bpe, forest, mixing, pii, quality, setsketch, urls, warc
 from tenura.session import apply_settings
 
 # The rules of the url query.
@@ -55,6 +55,11 @@ def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.build_derivatives(warc.responses_of(_table(spark, sf_dir, "pages"), CRAWL_DATE))
 
 
+def op8_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return found.withColumns({"query_id": F.col("query_id").cast("long"), "vec_id": F.col("vec_id").cast("long")})
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
     counts = [f"n_{kind}" for kind in pii.KINDS]
@@ -68,7 +73,8 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_url_filters, op3_source_mixing, op6_byte_bpe, op7_warc_derivatives, op9_personal_data,
+        op1_quality_rules, op2_url_filters, op3_source_mixing, op6_byte_bpe, op7_warc_derivatives, op8_projection_forest,
+        op9_personal_data,
         op10_setsketch_dedup,
     )
 }
