@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Sequence
 from itertools import chain
 
 from pyspark.sql import DataFrame
@@ -137,21 +138,31 @@ def _held(df: DataFrame, path: str, pattern: str):
 
 
 def encode_texts(
-    df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False
+    df: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    digests: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Id, ``n_tokens`` and ``ids`` of every text.
+    """Id, the columns of ``keep``, ``n_tokens`` and ``ids`` of every text.
 
     With ``digests``, instead of ``ids``: ``ids_sha256`` of the decimal ids joined by commas and ``decoded_sha256`` of
     the bytes that the ids decode to.
     """
-    source = df.select(df[id_col].alias("_id"), df[text_col].cast("string").alias("_text"))
+    kept = {f"_keep_{i}": name for i, name in enumerate(keep)}
+    source = df.select(
+        df[id_col].alias("_id"), df[text_col].cast("string").alias("_text"), *[df[c].alias(k) for k, c in kept.items()]
+    )
     held = _held(df, path, pattern)
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batch):
         codec = _codec(*held.value)
         texts = text_column(batch, "_text")
-        out = {id_col: text_column(batch, "_id"), "n_tokens": [], "ids": [], "ids_sha256": [], "decoded_sha256": []}
+        out = {c: text_column(batch, k) for k, c in kept.items()}
+        out |= {id_col: text_column(batch, "_id"), "n_tokens": [], "ids": [], "ids_sha256": [], "decoded_sha256": []}
         names = codec.names
         for text in texts:
             ids = codec.encode(text.as_py())
@@ -165,7 +176,8 @@ def encode_texts(
         return out
 
     last = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
-    return map_batches(source, run, f"{id_col} {kind}, n_tokens long, {last}")
+    more = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in keep)
+    return map_batches(source, run, f"{id_col} {kind}{more}, n_tokens long, {last}")
 
 
 def decode_ids(

@@ -137,19 +137,22 @@ def sample(
     powers: Mapping[str, float] | None = None,
     targets: Mapping[str, DataFrame] | None = None,
     budget: float | None = None,
+    budget_share: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``df`` with the dimensions, ``n_tokens``, ``weight``, ``probability`` and ``sampled``.
 
     ``dimensions`` names the columns to rake and says how to get them. Their targets are tables of ``value`` and
-    ``share``, or ``powers`` of the present token sums.
+    ``share``, or ``powers`` of the present token sums. ``budget_share`` is a budget as a share of all tokens.
     """
     names = list(dimensions)
     added = {f"_mix_{i}": column for i, column in enumerate(dimensions.values())}
     rows = df.withColumns({**added, "_mix_tokens": token_count(F.col(text_col))})
     # Only what the cells need is read for the counts.
     cells = materialize(cell_table(rows, list(added), F.col("_mix_tokens")), "mix-cells")
+    if budget_share is not None:
+        budget = budget_share * (cells.agg(F.sum("tokens")).first()[0] or 0.0)
     wanted = {}
     for i, name in enumerate(names):
         given = (targets or {}).get(name)

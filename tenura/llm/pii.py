@@ -296,8 +296,10 @@ def map_batches_with_key(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def _apply(met: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+    names = df.columns
+
     def run(batch):
-        out = {name: text_column(batch, name) for name in df.columns}
+        out = {name: text_column(batch, name) for name in names}
         keys, terms = text_column(batch, "_pii_key"), text_column(batch, "_pii_terms")
         texts = [
             value.as_py() if not key.is_valid else _replaced(value.as_py(), term.as_py())

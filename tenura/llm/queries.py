@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import bpe, forest, mixing, pii, pst, quality, setsketch, urls, warc
+from tenura.llm import bpe, forest, mixing, passages, pii, pst, quality, setsketch, urls, warc
 from tenura.session import apply_settings
 
 # The rules of the url query.
@@ -50,6 +50,10 @@ def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pst.score_texts(documents, F.crc32(F.col("doc_id").cast("string")) % 7 != 2)
 
 
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -78,8 +82,8 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_url_filters, op3_source_mixing, op4_suffix_tree, op6_byte_bpe, op7_warc_derivatives, op8_projection_forest,
-        op9_personal_data,
+        op1_quality_rules, op2_url_filters, op3_source_mixing, op4_suffix_tree, op5_compact_windows, op6_byte_bpe,
+        op7_warc_derivatives, op8_projection_forest, op9_personal_data,
         op10_setsketch_dedup,
     )
 }
