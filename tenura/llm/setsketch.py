@@ -9,9 +9,10 @@ the full sets. A pair at the threshold 0.8 shares no band of 32 with probability
 below the floor with 1e-5.
 
 Documents with equal sets are one class from the start, so copies cost nothing further on. A bucket's classes are never
-paired with each other at large: first each is compared with the bucket's least class, then with two others picked by hash;
-only classes still unlinked are compared with the rest, in blocks of bounded size inside tasks,
-which emit what passes the estimate. Pairs already known to be in one component are left out, which loses no component.
+paired with each other at large: first each is compared with the bucket's least class. Buckets that then still hold
+several components are searched inside tasks, in blocks of bounded size: what is outside the largest component is
+compared with it and with each other, and confirmed in place. Pairs already known to be in one component are left
+out, which loses no component.
 
 Edge cases: null, empty and blank texts have an empty set, are linked with nothing and are kept. A null id is linked with
 nothing and has a null component. Repeated ids are separate documents with one id. Other columns are ignored by :func:`near_duplicates`
@@ -20,8 +21,6 @@ and kept by :func:`keep_first`. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +38,7 @@ BASE = 1.001
 RATE = 20.0
 THRESHOLD = 80  # percent
 FLOOR = 0.65
-BLOCK = 1_000
+BLOCK = 500_000  # shingles
 
 _rng = np.random.default_rng(411)
 _ODD = _rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -232,23 +231,20 @@ def _open(hits: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
-def _star(rows: DataFrame, order) -> DataFrame:
-    """Pairs of each row's node with the bucket's first node by ``order``, unless one component holds both."""
-    first = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("_o"), "node", "comp")).alias("_f"))
-    met = rows.join(first, "bucket").where(F.col("comp") != F.col("_f.comp"))
-    return met.select(F.least("node", "_f.node").alias("a"), F.greatest("node", "_f.node").alias("b")).distinct()
-
-
-def _rest(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """All likely pairs of different components within a bucket, compared block by block inside tasks.
+def _rest(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a bucket, found block by block inside tasks.
 
-    The largest component of a bucket is only compared with the others, in blocks of ``BLOCK`` rows against blocks of
-    ``BLOCK`` rows, so a task holds two blocks at a time and pairs inside the large component are never looked at.
+    The largest component of a bucket is only compared with the others, so pairs inside it are never looked at. A task
+    holds two blocks of about ``BLOCK`` shingles each, confirms likely pairs on the full sets, and emits no more links
+    than it takes to join what belongs together. Buckets with the same members are compared once.
     """
-    per = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("_n"))
-    whole = per.groupBy("bucket").agg(
-        F.max(F.struct("_n", "comp")).alias("_m"), F.sum("_n").alias("_all")
+    per_bucket = rows.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.xxhash64("node") % (1 << 40)).alias("_s"), F.bit_xor(F.xxhash64("node")).alias("_x")
     )
+    once = per_bucket.groupBy("_n", "_s", "_x").agg(F.min("bucket").alias("bucket")).select("bucket")
+    rows = rows.join(once, "bucket", "left_semi").join(classes.select("node", "n_shingles"), "node")
+    per = rows.groupBy("bucket", "comp").agg(F.sum("n_shingles").alias("_n"))
+    whole = per.groupBy("bucket").agg(F.max(F.struct("_n", "comp")).alias("_m"), F.sum("_n").alias("_all"))
     blocks = whole.select(
         "bucket",
         F.col("_m.comp").alias("_main"),
@@ -258,28 +254,28 @@ def _rest(rows: DataFrame, classes: DataFrame) -> DataFrame:
     placed = rows.join(blocks, "bucket").withColumn("_is_main", F.col("comp") == F.col("_main"))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("_is_main"), F.col("_mains")).otherwise(F.col("_others")))
     placed = placed.withColumn("_own", own)
-    across_main = F.transform(F.sequence(F.lit(0), F.col("_others") - 1), lambda j: F.array(F.lit(0), F.col("_own"), j))
-    across = F.transform(F.sequence(F.lit(0), F.col("_mains") - 1), lambda i: F.array(F.lit(0), i, F.col("_own")))
-    among = F.transform(
-        F.sequence(F.lit(0), F.col("_others") - 1),
-        lambda k: F.array(F.lit(1), F.least(k, F.col("_own")), F.greatest(k, F.col("_own"))),
+    other = F.sequence(F.lit(0), F.col("_others") - 1)
+    main_cells = F.transform(other, lambda j: F.array(F.lit(0), F.col("_own"), j))
+    across = F.transform(
+        F.sequence(F.lit(0), F.col("_mains") - 1), lambda i: F.array(F.lit(0), i, F.col("_own"))
     )
-    cells = F.when(F.col("_is_main"), across_main).otherwise(F.concat(across, among))
-    dealt = placed.select("node", "comp", "_is_main", "bucket", F.explode(cells).alias("_cell"))
-    dealt = dealt.join(classes.select("node", "n_shingles", "_registers"), "node")
-    keyed = dealt.withColumn("_key", F.xxhash64("bucket", "_cell"))
-    sorted_rows = keyed.repartition("_key").sortWithinPartitions("_key", "bucket", "_cell")
-    columns = ["bucket", "_kind", "_i", "_j", "node", "comp", "_is_main", "n_shingles", "_registers"]
-    flat = sorted_rows.select(
-        "bucket", F.col("_cell")[0].alias("_kind"), F.col("_cell")[1].alias("_i"), F.col("_cell")[2].alias("_j"),
-        *columns[4:],
+    among = F.transform(other, lambda k: F.array(F.lit(1), F.least(k, F.col("_own")), F.greatest(k, F.col("_own"))))
+    cells = F.when(F.col("_is_main"), main_cells).otherwise(F.concat(across, among))
+    dealt = placed.select("bucket", "node", "comp", "_is_main", F.explode(cells).alias("_cell"))
+    dealt = dealt.join(classes.select("node", "_registers"), "node").join(sets, "node")
+    key = ["bucket", "_kind", "_i", "_j"]
+    flat = dealt.select(
+        "bucket", *[F.col("_cell")[i].alias(name) for i, name in enumerate(key[1:])],
+        "node", "comp", "_is_main", "_registers", "set",
     )
+    flat = flat.repartition(F.xxhash64(*key)).sortWithinPartitions(*key)
 
     def run(batches):
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        for group in _runs(batches, columns[:4]):
-            a, b = _likely_pairs(group)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+        for group in _runs(batches, key):
+            links = _links(group, percent)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(side) for side in zip(*links)], schema=schema)
 
     return flat.mapInArrow(run, "a long, b long").distinct()
 
@@ -302,26 +298,46 @@ def _runs(batches, key: list[str]):
         yield pa.Table.from_batches(held)
 
 
-def _likely_pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    node, comp, size = (group[c].to_numpy() for c in ("node", "comp", "n_shingles"))
-    main = group["_is_main"].to_numpy(zero_copy_only=False)
+def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Number of elements of each other set in a sorted set."""
+    values = np.concatenate(others)
+    at = np.searchsorted(one, values)
+    at[at == len(one)] = 0
+    starts = np.concatenate(([0], np.cumsum([len(o) for o in others])))[:-1]
+    return np.add.reduceat((one[at] == values).astype(np.int64), starts)
+
+
+def _links(group: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links between different components of a cell; each joins two that were apart."""
+    node, main = group["node"].to_numpy(), group["_is_main"].to_numpy(zero_copy_only=False)
+    label = np.unique(group["comp"].to_numpy(), return_inverse=True)[1]
     registers = _registers(group["_registers"].combine_chunks())
+    sets = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in group["set"]]
+    size = np.array([len(s) for s in sets])
     across = group["_kind"][0].as_py() == 0
-    found_a, found_b = [], []
-    for i in range(len(node)):
-        able = (comp != comp[i]) & (node > node[i]) & (5 * np.minimum(size, size[i]) >= 4 * np.maximum(size, size[i]))
+    found = []
+    for i in np.flatnonzero(~main) if across else range(len(node)):
+        able = (label != label[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
+        able[: i + 1] &= across
         if across:
-            able &= main != main[i]
+            able &= main
         at = np.flatnonzero(able)
-        # Below this share of equal registers no likelihood reaches the floor.
-        at = at[(registers[at] == registers[i]).sum(axis=1) >= int(0.5 * REGISTERS)]
-        if len(at):
-            up, down = (registers[i] > registers[at]).sum(axis=1), (registers[i] < registers[at]).sum(axis=1)
-            at = at[likely_similarity(up, down, np.full(len(at), size[i]), size[at]) >= FLOOR]
-            found_a.append(np.full(len(at), node[i]))
-            found_b.append(node[at])
-    empty = [np.zeros(0, np.int64)]
-    return np.concatenate(found_a or empty), np.concatenate(found_b or empty)
+        same = (registers[at] == registers[i]).sum(axis=1)
+        # An estimate from the equal registers alone is near enough to leave out what cannot reach the floor.
+        likely = same >= int((FLOOR - 0.03) * REGISTERS)
+        at, same = at[likely], same[likely]
+        if not len(at):
+            continue
+        up, down = (registers[i] > registers[at]).sum(axis=1), (registers[i] < registers[at]).sum(axis=1)
+        at = at[likely_similarity(up, down, np.full(len(at), size[i]), size[at]) >= FLOOR]
+        if not len(at):
+            continue
+        both = _shared(sets[i], [sets[k] for k in at])
+        for k in at[100 * both >= percent * (size[i] + size[at] - both)]:
+            if label[k] != label[i]:
+                found.append((min(node[i], node[k]), max(node[i], node[k])))
+                label[label == label[k]] = label[i]
+    return found
 
 
 def near_duplicates(
@@ -352,24 +368,12 @@ def near_duplicates(
     in_buckets = hits.select("node").distinct()
     wanted = classes.join(in_buckets, "node", "left_semi").select("node", "_first", "_k1", "_k2")
     sets = materialize(_full_sets(df, wanted, id_col, text_col, size), "sets")
-    links, tested = [materialize(_confirmed(likely, sets, percent), "links")], [likely]
-
-    hits = hits.select("bucket", "node")
-    for salt in ("second", "third", None):
-        still = materialize(_open(hits, reduce(DataFrame.unionByName, links)), "open")
-        if still.isEmpty():
-            break
-        done = reduce(DataFrame.unionByName, tested)
-        if salt:
-            fresh = _screened(_star(still, F.xxhash64("node", F.lit(salt))).join(done, ["a", "b"], "left_anti"), classes)
-        else:
-            fresh = _rest(still, classes).join(done, ["a", "b"], "left_anti")
-        fresh = materialize(fresh, "pairs")
-        tested.append(fresh)
-        links.append(materialize(_confirmed(fresh, sets, percent), "links"))
-        hits = still.select("bucket", "node")
-
-    named = _labelled(classes.select("node", "_k1", "_k2", "n_shingles", "_first"), reduce(DataFrame.unionByName, links))
+    links = materialize(_confirmed(likely, sets, percent), "links")
+
+    still = materialize(_open(hits.select("bucket", "node"), links), "open")
+    links = links.unionByName(materialize(_rest(still, classes, sets, percent), "links"))
+
+    named = _labelled(classes.select("node", "_k1", "_k2", "n_shingles", "_first"), links)
     named = materialize(named, "named")
     ids = named.groupBy("comp").agg(F.min("_first").alias("component_id"))
     final = named.join(ids, "comp").select(
