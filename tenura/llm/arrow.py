@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -18,10 +20,32 @@ def slices(batch: pa.RecordBatch):
         yield batch.slice(first, BATCH_ROWS)
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+def give_back() -> None:
+    """Hand freed memory back to the system: workers outlive their task and sit beside the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def task(run: Callable) -> Callable:
+    """A function of an iterator of batches that hands its memory back at the end of a task."""
+
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
+def map_batches(
+    df: DataFrame, function: Callable, schema: str | StructType, close: Callable[[], None] | None = None
+) -> DataFrame:
     """``df`` through ``function``, which gets a record batch and returns the columns of ``schema`` as a dict.
 
-    A dict from a name to a list or array; every column of the result has the type that ``schema`` states.
+    A dict from a name to a list or array; every column of the result has the type that ``schema`` states. ``close`` is
+    called at the end of each task.
     """
     struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(struct)
@@ -32,8 +56,10 @@ def map_batches(df: DataFrame, function: Callable, schema: str | StructType) ->
                 columns = function(part)
                 arrays = [_typed(columns[field.name], field.type) for field in target]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        if close:
+            close()
 
-    return df.mapInArrow(run, struct)
+    return df.mapInArrow(task(run), struct)
 
 
 def _typed(values, kind: pa.DataType) -> pa.Array:
@@ -59,4 +85,4 @@ def keep_rows(df: DataFrame, decide: Callable, needed: str) -> DataFrame:
                     [_typed(column, field.type) for column, field in zip(kept.columns, target)], schema=target
                 )
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(task(run), df.schema)
