@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.llm import bpe, mixing, pii, quality, setsketch
-from tenura.llm.queries import MIX_POWERS, mix_dimensions
-from tenura.session import apply_settings, materialize
+from tenura.llm.queries import MIX_POWERS, mix_dimensions, prepared
+from tenura.session import materialize
 
 # Share of the tokens that the mix may use.
 MIX_SHARE = 0.9
@@ -20,32 +20,32 @@ MIX_SHARE = 0.9
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the repetition rules."""
-    apply_settings(spark)
+    prepared(spark)
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, on five-word shingles at 0.8."""
-    apply_settings(spark)
+    prepared(spark)
     return setsketch.keep_first(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data and disclosing terms replaced."""
-    apply_settings(spark)
+    prepared(spark)
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens meet tempered source, language and topic shares as far as they reach."""
-    apply_settings(spark)
+    prepared(spark)
     mixed = mixing.sample(docs, mix_dimensions(), powers=MIX_POWERS, budget_share=MIX_SHARE)
     return mixed.where("sampled").select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
-    apply_settings(spark)
+    prepared(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_texts(docs, path, public_tokenizers.PATTERN, keep=["lang", "source"])
 
@@ -64,7 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = apply_settings(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"corpus-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -27,7 +27,7 @@ from tenura.llm.arrow import map_batches, text_column
 
 MAX_VOCABULARY_BYTES = 16 << 20
 # Distinct pre-tokens remembered by a worker.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def _byte_characters() -> list[str]:
@@ -177,7 +177,8 @@ def encode_texts(
 
     last = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
     more = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in keep)
-    return map_batches(source, run, f"{id_col} {kind}{more}, n_tokens long, {last}")
+    schema = f"{id_col} {kind}{more}, n_tokens long, {last}"
+    return map_batches(source, run, schema, close=lambda: _codec(*held.value).known.clear())
 
 
 def decode_ids(

@@ -22,8 +22,14 @@ MIX_POWERS = {"source": 0.8, "lang": 0.8, "topic": 0.9}
 CRAWL_DATE = "2024-01-01T00:00:00Z"
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The library's settings, and Arrow batches of whole texts that stay small."""
+    apply_settings(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return spark
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return apply_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

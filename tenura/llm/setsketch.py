@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm import bitmap
-from tenura.llm.arrow import keep_rows, map_batches, text_column
+from tenura.llm.arrow import keep_rows, map_batches, task, text_column
 from tenura.llm.components import components
 from tenura.llm.words import Chunk, chunks, mix
 from tenura.session import materialize
@@ -277,7 +277,7 @@ def _rest(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) ->
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(side) for side in zip(*links)], schema=schema)
 
-    return flat.mapInArrow(run, "a long, b long").distinct()
+    return flat.mapInArrow(task(run), "a long, b long").distinct()
 
 
 def _runs(batches, key: list[str]):
