@@ -51,6 +51,7 @@ def main(argv: list[str]) -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", "/tmp/tenura-compare")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

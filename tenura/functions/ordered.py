@@ -11,9 +11,8 @@ wrong for a user that holds a third of the table. ``ordered`` therefore looks fo
   the summaries, whose number per key is bounded by the number of slices. All other keys keep the
   plain window.
 
-Both paths give the same values. At most ``hot_keys`` keys, the largest ones, are taken out; every
-other key then holds at most ``1 / hot_keys`` of the rows, so the cut needs no exact bound and the
-list stays small enough to send to every task.
+Both paths give the same values. Hot keys stay a stored table of any length that rows are joined with;
+their number is not limited and they are never collected. NULL order values come last.
 """
 
 from __future__ import annotations
@@ -28,7 +27,6 @@ from tenura.functions.placement import placed
 from tenura.session import materialize
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 
 _BEFORE = (Window.unboundedPreceding, -1)
 
@@ -174,7 +172,7 @@ class PlainRows:
         return replace(self, df=self.df.withColumns(columns))
 
     def add(self, **steps: Step) -> PlainRows:
-        spec = Window.partitionBy(*self.key).orderBy(*self.order)
+        spec = Window.partitionBy(*self.key).orderBy(*[F.col(c).asc_nulls_last() for c in self.order])
         return replace(self, df=self.df.withColumns({name: step.plain(spec) for name, step in steps.items()}))
 
 
@@ -232,10 +230,10 @@ def _sliced(df: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> Slic
     return SlicedRows(places.withColumnsRenamed({"_part": "_slice", "_nth": "_row"}).drop("_copy"), key)
 
 
-def hot_key_rows(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> list:
-    """The keys above ``hot_rows`` rows, at most ``hot_keys`` of them, largest first."""
+def hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys above ``hot_rows`` rows, all of them, stored."""
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    return counts.orderBy(F.desc("_rows"), *key).limit(hot_keys).select(*key).collect()
+    return materialize(counts.select(*key), "hot-keys")
 
 
 def ordered(
@@ -244,19 +242,21 @@ def ordered(
     order: Sequence[str],
     build: Callable[[PlainRows | SlicedRows], PlainRows | SlicedRows],
     hot_rows: int | None = HOT_ROWS,
-    hot_keys: int = HOT_KEYS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ordered columns to ``df`` through ``build``, which chains ``add`` and ``derive`` calls.
 
     ``order`` must be total up to equal rows. ``hot_rows=None`` skips the look for hot keys, for
-    inputs already bounded per key. Rows with a NULL key are never taken for hot.
+    inputs already bounded per key. ``counted`` is a table to count keys on in place of ``df``: the one
+    that makes keys hot, where ``df`` itself is dear to compute. Rows with a NULL key are never taken for hot.
     """
     key = (key,) if isinstance(key, str) else tuple(key)
     order = tuple(order)
-    hot = hot_key_rows(df, key, hot_rows, hot_keys) if hot_rows is not None else []
-    if not hot:
+    if hot_rows is None:
         return build(PlainRows(df, key, order)).df
-    listed = F.broadcast(df.sparkSession.createDataFrame(hot, df.select(*key).schema))
-    plain = build(PlainRows(df.join(listed, list(key), "left_anti"), key, order)).df
-    sliced = build(_sliced(df.join(listed, list(key), "left_semi"), key, order)).df
+    hot = hot_keys(df if counted is None else counted, key, hot_rows)
+    if hot.isEmpty():
+        return build(PlainRows(df, key, order)).df
+    plain = build(PlainRows(df.join(hot, list(key), "left_anti"), key, order)).df
+    sliced = build(_sliced(df.join(hot, list(key), "left_semi"), key, order)).df
     return plain.unionByName(sliced.select(*plain.columns))

@@ -21,7 +21,8 @@ _ROW_MASK = (1 << _ROW_BITS) - 1
 
 def placed(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """Sort ``df`` across the cluster and store each row's partition ``_part`` and row ``_nth`` in it."""
-    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    order = [F.col(c).asc_nulls_last() for c in columns]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     stored = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), label)
     return stored.withColumns(
         {"_part": F.shiftright("_at", _ROW_BITS), "_nth": F.col("_at").bitwiseAND(F.lit(_ROW_MASK))}

@@ -39,23 +39,25 @@ def table_presence(tables: Tables, key: str = "user_id", flags: Mapping[str, Col
     """One row per user: ``in_all``, and for each table named in ``flags`` whether any of its rows meets
     the condition (``flag_<table>``).
 
-    One bit per table, combined per user: one exchange of pre-reduced rows instead of a chain of
+    One bit per table, in as many words as it takes, combined per user: one exchange of pre-reduced rows instead of a chain of
     intersections, and one scan for everything asked about the users.
     """
     keyed = {n: df for n, df in tables.items() if key in df.columns}
     if len(keyed) < 2:
         raise ValueError("common users need at least two tables with the key")
     flags = flags or {}
+    words = range(-(-len(keyed) // 62))
+    complete = [F.bit_or(f"_bits_{w}") == (1 << min(62, len(keyed) - 62 * w)) - 1 for w in words]
     marked = [
         df.select(
             key,
-            F.lit(1 << n).cast("long").alias("_bit"),
+            *[F.lit(1 << n % 62 if n // 62 == w else 0).cast("long").alias(f"_bits_{w}") for w in words],
             *[(flags[f] if f == name else F.lit(None).cast("boolean")).alias(f"flag_{f}") for f in flags],
         )
         for n, (name, df) in enumerate(keyed.items())
     ]
     seen = reduce(DataFrame.union, marked).groupBy(key).agg(
-        (F.bit_or("_bit") == (1 << len(keyed)) - 1).alias("in_all"),
+        reduce(lambda x, y: x & y, complete).alias("in_all"),
         *[F.coalesce(F.bool_or(f"flag_{f}"), F.lit(False)).alias(f"flag_{f}") for f in flags],
     )
     return seen.where(F.col(key).isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.functions.ordered import HOT_ROWS, RunLast, ordered
-from tenura.operators.features import PLAYS, SECONDS_PER_HOUR, USAGE_COUNTS
+from tenura.operators.features import PLAYS, SECONDS_PER_HOUR
 from tenura.operators.sequence import transaction_order
 
 
@@ -24,7 +24,7 @@ def dense_daily_grid(
     columns: Sequence[str] | None = None,
     user: str = "user_id",
 ) -> DataFrame:
-    """Every user on every day from ``start`` to ``end``; days without a row hold 0.
+    """Every user on every day from ``start`` to ``end``; days without a row hold 0, NULLs of a row stay.
 
     ``date_idx`` counts days from ``base_date`` (default ``start``). Days are unfolded in the tasks
     that hold the users and joined on (user, day); nothing is collected.
@@ -32,11 +32,14 @@ def dense_daily_grid(
     columns = list(columns) if columns else [c for c in logs.columns if c not in (user, "date")]
     days = F.sequence(_day(start), _day(end))
     grid = logs.select(user).distinct().select(user, F.explode(days).alias("date"))
-    inside = logs.where(F.col("date").between(_day(start), _day(end))).select(user, "date", *columns)
+    inside = logs.where(F.col("date").between(_day(start), _day(end))).select(
+        user, "date", *columns, F.lit(True).alias("_recorded")
+    )
+    filled = {c: F.when(F.col("_recorded"), F.col(c)).otherwise(F.lit(0).cast(logs.schema[c].dataType)) for c in columns}
     index = F.datediff("date", _day(base_date or start))
     return (
         grid.join(inside, [user, "date"], "left")
-        .fillna(0, columns)
+        .select(user, "date", *[value.alias(c) for c, value in filled.items()])
         .withColumn("date_idx", index)
         .sortWithinPartitions(user, "date_idx")
     )
@@ -56,10 +59,13 @@ def ffill_transactions(
     marker: str = "transaction_date",
     user: str = "user_id",
     hot_rows: int | None = HOT_ROWS,
+    payments: DataFrame | None = None,
 ) -> DataFrame:
     """Carry the fields of the last payment (a row where ``marker`` is set) to the rows after it.
 
-    With ``stop_at_expiry`` only to days before the carried expiry.
+    With ``stop_at_expiry`` only to days before the carried expiry. With ``payments``, days before a user's
+    first payment in ``daily`` get the fields of the last payment before the user's first day; it is also where
+    hot users are looked for.
     """
     carried = list(dict.fromkeys([*columns, expire_column] if stop_at_expiry else columns))
     order = ("date", *[c for c in transaction_order(daily) if c in daily.columns])
@@ -68,10 +74,16 @@ def ffill_transactions(
         rows = rows.derive(_payment=F.when(F.col(marker).isNotNull(), F.struct(*carried)))
         return rows.add(_last=RunLast("_payment"))
 
-    rows = ordered(daily, user, order, steps, hot_rows=hot_rows)
+    rows = ordered(daily, user, order, steps, hot_rows=hot_rows, counted=payments)
     last = F.col("_last")
+    if payments is not None:
+        begins = daily.groupBy(user).agg(F.min("date").alias("_begins"))
+        earlier = payments.join(begins, user).where(F.col(marker) < F.col("_begins"))
+        by = F.struct(*transaction_order(payments))
+        start = earlier.groupBy(user).agg(F.max_by(F.struct(*carried), by).alias("_before"))
+        rows, last = rows.join(start, user, "left"), F.coalesce("_last", "_before")
     if stop_at_expiry:
-        last = F.when(F.col("date") < F.col(f"_last.{expire_column}"), last)
+        last = F.when(F.col("date") < last.getField(expire_column), last)
     filled = {c: last.getField(c) for c in columns}
     return rows.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in daily.columns])
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.operators.sequence import days_between
+from tenura.session import materialize
 
 PLAYS = ("num_25", "num_50", "num_75", "num_985", "num_100")
 USAGE_COUNTS = (*PLAYS, "num_unq")
@@ -444,9 +445,11 @@ def feature_table(
 ) -> DataFrame:
     """``ml_features`` straight from members, payments and usage.
 
-    The same table as composing the single operators, with each input exchanged once.
+    The same table as composing the single operators, with each input exchanged once. The snapshot, one row per
+    member, is stored first: its first and last day bound the scan of the usage, and its users are all whose usage is
+    summed and exchanged.
     """
-    snapshot = payment_snapshot(members, seq)
+    snapshot = materialize(payment_snapshot(members, seq), "snapshot")
     found = F.col("found")
     window = snapshot.where(found).select(
         "user_id",
@@ -454,7 +457,10 @@ def feature_table(
         F.col("last_expire_date").alias("log_end_date"),
         "membership_period",
     )
-    profile = usage_profile(logs_in_membership(daily_usage(logs), window), weekday_mode)
+    bounds = window.agg(F.min("log_start_date").alias("low"), F.max("log_end_date").alias("high")).first()
+    inside = (F.col("date") >= F.lit(bounds["low"])) & (F.col("date") < F.lit(bounds["high"]))
+    used = logs.where(inside).join(window.select("user_id"), "user_id", "left_semi")
+    profile = usage_profile(logs_in_membership(daily_usage(used), window), weekday_mode)
     features = _complete(snapshot, profile, None)
 
     def filled(name: str) -> Column:

@@ -25,20 +25,15 @@ def days_between(end: str | Column, start: str | Column) -> Column:
 
 def session_steps(rows, gap_days: int, cutoff_date: str):
     """Group and position columns; a group ends where the next payment is over ``gap_days`` late."""
-    rows = rows.add(
-        _prev_txn=Lag("transaction_date"), _prev_exp=Lag("membership_expire_date"), _next_txn=Lead("transaction_date")
+    rows = rows.derive(_one=F.lit(1)).add(
+        _prev_txn=Lag("transaction_date"), _prev_exp=Lag("membership_expire_date"), _at=RunSum("_one")
     )
-    rows = rows.derive(
-        _one=F.lit(1),
-        _new=F.when(
-            F.col("_prev_txn").isNull() | (F.datediff("transaction_date", "_prev_exp") > gap_days), 1
-        ).otherwise(0),
-        _ends=F.col("_next_txn").isNull() | (F.datediff("_next_txn", "membership_expire_date") > gap_days),
-    )
-    rows = rows.add(_groups=RunSum("_new"), _at=RunSum("_one"))
+    # The first payment is known by its place: dates may be NULL.
+    first = F.col("_at") == 1
+    rows = rows.derive(_new=F.when(first | (F.datediff("transaction_date", "_prev_exp") > gap_days), 1).otherwise(0))
     rows = rows.derive(_starts=F.when(F.col("_new") == 1, F.col("_at")))
-    rows = rows.add(_start=RunMax("_starts"))
-    first = F.col("_prev_txn").isNull()
+    rows = rows.add(_groups=RunSum("_new"), _start=RunMax("_starts"), _next_new=Lead("_new"))
+    rows = rows.derive(_ends=F.coalesce(F.col("_next_new") == 1, F.lit(True)))
     open_ended = F.date_add("membership_expire_date", gap_days) > F.lit(cutoff_date).cast("date")
     return rows.derive(
         sequence_group_id=(F.col("_groups") - 1).cast("long"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,21 +52,14 @@ def shuffle_partitions(input_bytes: int) -> int:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse.
 
-    A local master without that setting gets a folder of its own, once per session. A cluster
-    without it is refused: a folder on one machine is not visible to the other executors.
+    Both are folders that all executors reach. Whatever the master, nothing goes to a machine's own temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    own = spark.conf.get("spark.tenura.localScratch", None)
-    if not own:
-        own = tempfile.mkdtemp(prefix="tenura-")
-        spark.conf.set("spark.tenura.localScratch", own)
-    return own
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -160,3 +160,11 @@ def test_sequence_table_carries_what_the_rules_need(payments):
     assert {*PREVIOUS_COLUMNS, "actual_plan_days", "plan_days_diff"} <= set(
         sequence_table(payments([(1, 0, 30, 0, 30)])).columns
     )
+
+
+def test_more_tables_than_bits_in_a_long(spark):
+    tables = {f"t{n}": spark.createDataFrame([(1,), (n + 10,)], "user_id long") for n in range(70)}
+    assert [r.user_id for r in cohort.common_users(tables).collect()] == [1]
+    del tables["t69"]
+    tables["t69"] = spark.createDataFrame([(2,)], "user_id long")
+    assert cohort.common_users(tables).count() == 0

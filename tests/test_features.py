@@ -217,3 +217,36 @@ def test_recent_activity_upper_bound(spark):
     logs = spark.createDataFrame([(1, day(d), 1.0) for d in (0, 40, 59, 60, 61)], "user_id long, date date, total_hours double")
     assert daily.recent_activity(logs, str(day(60))).collect()[0].active_days_30d == 4
     assert daily.recent_activity(logs, str(day(60)), until=str(day(60))).collect()[0].active_days_30d == 2
+
+
+def test_grid_keeps_nulls_of_recorded_rows(spark):
+    df = spark.createDataFrame([(1, day(0), None, 3), (2, day(1), 5.0, None)], "user_id long, date date, total_secs double, num_25 long")
+    got = daily.dense_daily_grid(df, str(day(0)), str(day(1)))
+    assert rows_of(got, "user_id", "date", "total_secs", "num_25") == [
+        (1, day(0), None, 3), (1, day(1), 0.0, 0), (2, day(0), 0.0, 0), (2, day(1), 5.0, None),
+    ]
+
+
+def test_forward_fill_starts_with_the_payment_before_the_first_day(spark, payments):
+    paid = payments([(1, -20, -5, 0, 15), (1, -12, 18, 0, 30), (1, 3, 40, 0, 60), (2, 9, 20, 0, 7)])
+    grid = spark.createDataFrame([(u, day(d)) for u in (1, 2) for d in range(5)], "user_id long, date date")
+    joined = daily.daily_logs_with_transactions(grid, paid)
+    for hot in (None, 2):
+        got = daily.ffill_transactions(joined, ["payment_plan_days"], payments=paid, hot_rows=hot).orderBy("user_id", "date")
+        assert [r.payment_plan_days for r in got.collect()] == [30, 30, 30, 60, 60] + [None] * 5
+
+
+def test_usage_is_pruned_before_it_moves(spark, tmp_path):
+    """The scan gets the days that memberships cover, and only their users' usage is exchanged."""
+    from tenura.sources import star_schema
+    from tests.conftest import SF_SMALL
+    from checks.world import World
+
+    world = World(spark, SF_SMALL)
+    star_schema.user_logs(spark, SF_SMALL).write.parquet(str(tmp_path / "logs"))
+    logs = spark.read.parquet(str(tmp_path / "logs"))
+    table = features.feature_table(world.members5, world.seq, logs)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date," in plan and "LessThan(date," in plan
+    assert "LeftSemi" in plan
+    assert rows_of(table) == rows_of(world.ml)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tenura.functions.ordered import Lag, Lead, RunLast, RunMax, RunSum, hot_key_rows, ordered
+from tenura.functions.ordered import Lag, Lead, RunLast, RunMax, RunSum, hot_keys, ordered
 from tenura.functions.placement import dense_index, exact_median, exact_percentiles
 from tenura.operators import cohort, daily, reports, sequence
 from tenura.plans.preprocess import sequence_table
@@ -31,7 +31,7 @@ def steps(rows):
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """One user with most of the rows, many of them equal; gaps in one column; NULL order values."""
+    """One user with most of the rows, many of them equal; gaps in one column; NULL order values, which come last."""
     rng = random.Random(7)
     rows = [(1, rng.randrange(40), rng.randrange(9), rng.choice([None, 1, 2])) for _ in range(900)]
     rows += [(1, 5, 3, 2)] * 400 + [(1, None, 4, None)] * 5
@@ -52,10 +52,22 @@ def test_every_key_hot(skewed):
     assert rows_of(plain) == rows_of(ordered(skewed, "k", order, steps, hot_rows=1))
 
 
-def test_only_the_largest_keys_are_taken_out(skewed):
-    assert [r.k for r in hot_key_rows(skewed, ["k"], hot_rows=5, hot_keys=1)] == [1]
-    capped = ordered(skewed, "k", ("t", "v", "w"), steps, hot_rows=5, hot_keys=3)
-    assert rows_of(capped) == rows_of(ordered(skewed, "k", ("t", "v", "w"), steps, hot_rows=None))
+def test_any_number_of_keys_may_be_hot(spark):
+    """More hot keys than fit a short list, each split, none left in a plain window."""
+    rows = spark.range(0, 60_000, 1, 8).select(
+        (F.col("id") % 12_000).alias("k"), (F.col("id") % 7).alias("t"), (F.col("id") % 11).alias("v"),
+        F.when(F.col("id") % 3 == 0, F.col("id")).alias("w"),
+    )
+    assert hot_keys(rows, ["k"], hot_rows=4).count() == 12_000
+    plain = ordered(rows, "k", ("t", "v", "w"), steps, hot_rows=None)
+    assert rows_of(plain) == rows_of(ordered(rows, "k", ("t", "v", "w"), steps, hot_rows=4))
+
+
+def test_keys_are_counted_on_the_table_given(skewed):
+    few = skewed.where("k <> 1")
+    order = ("t", "v", "w")
+    plain = ordered(skewed, "k", order, steps, hot_rows=None)
+    assert rows_of(plain) == rows_of(ordered(skewed, "k", order, steps, hot_rows=5, counted=few))
 
 
 def test_hot_rows_are_spread_over_slices(spark):

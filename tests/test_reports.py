@@ -114,3 +114,24 @@ def test_duplicate_report_counts(payments):
     row = report["summary"].collect()[0]
     assert (row.total_users, row.dup_users, row.dup_pairs, row.dup_txns, row.clean_users) == (2, 1, 1, 3, 1)
     assert rows_of(report["distribution"]) == [(1, 3)]
+
+
+@pytest.mark.parametrize("handling", ["dropna", "fillzero", "fillmean", "pairwise"])
+def test_correlations_of_a_wide_table(spark, handling):
+    import pandas
+
+    rng = numpy.random.default_rng(3)
+    data = pandas.DataFrame(rng.standard_normal((120, 31)) + 1e6, columns=[f"c{i}" for i in range(31)])
+    data["c30"] = 4.0
+    for column in ("c3", "c9"):
+        data.loc[rng.choice(120, 20, replace=False), column] = numpy.nan
+    rows = [tuple(None if v != v else v for v in row) for row in data.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data.columns))
+    table = {"dropna": data.dropna(), "fillzero": data.fillna(0), "fillmean": data.fillna(data.mean())}.get(handling, data)
+    wanted = table.corr()
+    got = reports.correlation_pairs(df, null_handling=handling).collect()
+    assert len(got) == 465
+    for r in got:
+        expected = wanted.loc[r.col_a, r.col_b]
+        assert r.r is None if r.col_b == "c30" else r.r == pytest.approx(expected, abs=1e-9)
+        assert r.n_rows == len(table)

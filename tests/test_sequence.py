@@ -131,3 +131,12 @@ def test_seq_info_falls_back_from_a_cancel(payments, spark):
 def test_attach_label_keeps_unmatched_members(members, spark):
     labels = spark.createDataFrame([(1, 0), (1, 1), (9, 1)], "user_id long, is_churn long")
     assert rows_of(membership.attach_label(members(1, 2), labels), "user_id", "is_churn") == [(1, 1), (2, None)]
+
+
+def test_null_dates_do_not_start_groups(spark):
+    """The first payment is known by its place; NULL dates come last and open no group."""
+    from tests.conftest import TX_SCHEMA
+
+    rows = [(1, 1, 30, 150, 150, 1, None if t is None else day(t), day(e), 0) for t, e in ((None, 30), (30, 59), (59, 90))]
+    got = sequence.sessionize_transactions(spark.createDataFrame(rows, TX_SCHEMA)).orderBy("membership_expire_date").collect()
+    assert [(r.sequence_group_id, r.sequence_id, r.before_transaction_term) for r in got] == [(0, 2, None), (0, 0, -1), (0, 1, 29)]
