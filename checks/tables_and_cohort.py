@@ -46,6 +46,31 @@ check(
 )
 
 
+def _landed(w: World) -> DataFrame:
+    """Both label extracts through CSV with every tenth line broken, and what the count says of it."""
+    broken = F.when(F.col("is_churn") == 1, F.lit("yes")).otherwise(F.col("is_churn").cast("string"))
+    raw = {n: w.raw_tables[n].withColumn("is_churn", broken) for n in ("raw_train_v1", "raw_train_v2")}
+    folder = w.folder("csv")
+    files.write_csv_tables(raw, folder)
+    landed, counts = files.land_csv_tables(w.spark, folder, [f"{n}.csv" for n in raw], w.folder("landed"))
+    sums = [
+        df.agg(F.lit(n).alias("table_name"), F.count("is_churn").alias("n_known"), F.countDistinct("msno").alias("n_users"))
+        for n, df in landed.items()
+    ]
+    return counts.join(sums[0].unionByName(sums[1]), "table_name")
+
+
+check(
+    "land_csv_tables",
+    "s:table_name b:n_rows,n_corrupt,n_known,n_users",
+    _landed,
+    """SELECT name AS table_name, COUNT(*) AS n_rows, SUM(is_churn) AS n_corrupt, COUNT(*) - SUM(is_churn) AS n_known,
+      COUNT(DISTINCT user_id) AS n_users
+    FROM (SELECT 'raw_train_v1' AS name, * FROM tv1 UNION ALL SELECT 'raw_train_v2', * FROM tv2) x GROUP BY 1""",
+    "tv1", "tv2",
+)
+
+
 def _parquet_round_trip(w: World) -> DataFrame:
     paths = files.write_parquet_tables({"user_logs": w.logs}, w.folder("parquet"))
     return w.spark.read.parquet(paths["user_logs"])

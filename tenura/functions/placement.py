@@ -38,15 +38,19 @@ def dense_index(keys: DataFrame, column: str, name: str) -> DataFrame:
     return places.join(F.broadcast(offsets), "_part").select(column, (F.col("_offset") + F.col("_nth")).alias(name))
 
 
-def exact_percentiles(df: DataFrame, column: str, fractions: Sequence[float], group: str | None = None) -> DataFrame:
+def exact_percentiles(
+    df: DataFrame, column: str, fractions: Sequence[float], group: str | None = None, weight: str | None = None
+) -> DataFrame:
     """Exact linearly interpolated percentiles of ``column`` as rows ``([group], fraction, value)``.
 
     The value domain may be as large as the table: equal values are counted first, the counts are
     range-partitioned, and only the partitions holding a wanted rank are read again. ``group`` is for
-    a handful of groups, whatever their sizes.
+    a handful of groups, whatever their sizes. ``weight`` says how often a row counts.
     """
     groups = [group] if group else []
-    counts = df.where(F.col(column).isNotNull()).groupBy(*groups, column).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(*groups, column).agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("_n")
+    )
     places = placed(counts, [*groups, column], "percentiles")
     parts = places.groupBy(*groups, "_part").agg(F.sum("_n").alias("_size"))
     whole = Window.partitionBy(*groups)

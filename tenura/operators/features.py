@@ -356,6 +356,22 @@ def transactions_features(last_txn: DataFrame, history: DataFrame, seq: DataFram
     )
 
 
+def registration_days(members: DataFrame, floor: str = "2015-01-01", column: str = "registration_init_time") -> DataFrame:
+    """Members with ``registration_days``: days from ``floor`` to the registration, 0 for earlier ones, NULL where unknown."""
+    days = F.datediff(column, F.lit(floor).cast("date"))
+    return members.withColumn("registration_days", F.when(days < 0, 0).otherwise(days).cast("long"))
+
+
+def clip_usage_hours(logs: DataFrame, low: float = 0.0, high: float = 24.0) -> DataFrame:
+    """Usage with its time held between ``low`` and ``high`` hours, in ``total_secs`` and ``total_hours``.
+
+    For use before the features, all of which follow from ``total_secs``. NULL stays.
+    """
+    bounds = [F.lit(hours * SECONDS_PER_HOUR) for hours in (low, high)]
+    seconds = F.when(F.col("total_secs").isNotNull(), F.least(F.greatest("total_secs", bounds[0]), bounds[1]))
+    return logs.withColumn("total_secs", seconds).withColumn("total_hours", F.col("total_secs") / F.lit(SECONDS_PER_HOUR))
+
+
 def members_features(members: DataFrame, seq: DataFrame) -> DataFrame:
     """Months since registration and months the reference payment really covers."""
     payment = seq.select(

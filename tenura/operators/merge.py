@@ -12,11 +12,22 @@ from pyspark.sql import functions as F
 def merge_prefer_latest(v1: DataFrame, v2: DataFrame, key: str = "msno") -> DataFrame:
     """One row per key, from ``v2`` where it has the key.
 
-    Several rows of one version with the same key: the smallest by the remaining columns. Written as
-    an aggregation, so rows are reduced before the exchange and no key is gathered in a window.
+    Several rows of one version with the same key: the smallest by the remaining columns, NULL first. Written as
+    an aggregation, so rows are reduced before the exchange and no key is gathered in a window. A single remaining
+    column, as in the label tables, needs no struct and is aggregated by hashing, without a sort.
     """
     rest = [column for column in v2.columns if column != key]
     both = v2.withColumn("_priority", F.lit(0)).unionByName(v1.withColumn("_priority", F.lit(1)))
+    if len(rest) == 1:
+        value = F.col(rest[0])
+        sums = []
+        for n in (0, 1):
+            own = F.col("_priority") == n
+            sums += [F.count_if(own).alias(f"_rows{n}"), F.count_if(own & value.isNull()).alias(f"_nulls{n}")]
+            sums += [F.min(F.when(own, value)).alias(f"_least{n}")]
+        chosen = F.when(F.col("_rows0") > 0, F.when(F.col("_nulls0") == 0, F.col("_least0")))
+        chosen = chosen.otherwise(F.when(F.col("_nulls1") == 0, F.col("_least1"))).alias(rest[0])
+        return both.groupBy(key).agg(*sums).select(*[F.col(c) if c == key else chosen for c in v2.columns])
     best = both.groupBy(key).agg(F.min(F.struct("_priority", *rest)).alias("_best"))
     return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in v2.columns])
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tenura.sources.schemas import raw_schema
 
@@ -23,9 +25,13 @@ def read_csv_tables(
     schemas: Mapping[str, StructType] | None = None,
     existing: Mapping[str, DataFrame] | None = None,
     overwrite: bool = True,
+    corrupt_column: str | None = None,
 ) -> dict[str, DataFrame]:
     """Read CSV files with a header; a table is named after its file.
 
+    Fields that do not parse become NULL. With ``corrupt_column``, tables with a known schema get a column that holds
+    such lines whole; :func:`land_csv_tables` counts them.
+
     Missing files are skipped with a warning. Tables already in ``existing`` are kept as they are
     unless ``overwrite``. The schema comes from ``schemas``, else from the known raw extracts; only
     a file with neither costs an extra pass to infer it.
@@ -41,11 +47,43 @@ def read_csv_tables(
             continue
         schema = (schemas or {}).get(name) or raw_schema(name)
         reader = spark.read.option("header", True)
+        if schema and corrupt_column:
+            schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
         reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
         tables[name] = reader.csv(path)
     return tables
 
 
+def land_csv_tables(
+    spark: SparkSession,
+    csv_dir: str,
+    csv_files: Sequence[str],
+    output_dir: str,
+    schemas: Mapping[str, StructType] | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Parse CSV files once and keep them as Parquet: the stored tables, and a count of lines that did not parse.
+
+    The counts have a row per table: ``table_name``, ``n_rows``, ``n_corrupt``. Lines that did not parse stay, with NULLs.
+    """
+    marker = "_corrupt_line"
+    landed, counts = {}, []
+    for name, df in read_csv_tables(spark, csv_dir, csv_files, schemas, corrupt_column=marker).items():
+        marked = df if marker in df.columns else df.withColumn(marker, F.lit(None).cast("string"))
+        path = f"{output_dir.rstrip('/')}/{name}.parquet"
+        marked.write.mode("overwrite").parquet(path)
+        stored = spark.read.schema(marked.schema).parquet(path)
+        landed[name] = stored.drop(marker)
+        counts.append(
+            stored.agg(
+                F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count(marker).alias("n_corrupt")
+            )
+        )
+    if not counts:
+        return landed, spark.createDataFrame([], "table_name string, n_rows long, n_corrupt long")
+    return landed, reduce(DataFrame.unionByName, counts)
+
+
 def _chosen(tables: Mapping[str, DataFrame], names: Sequence[str] | None) -> dict[str, DataFrame]:
     chosen = {}
     for name in names if names is not None else tables:

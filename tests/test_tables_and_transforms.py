@@ -185,3 +185,24 @@ def test_fill_value_and_unknown_method(frame):
     assert rows_of(transform.fill_nulls(df, "s", "z")) == [("a",), ("z",)]
     with pytest.raises(ValueError):
         transform.fill_nulls(df, "s", method="guess")
+
+
+def test_lines_that_do_not_parse_are_counted(spark, tmp_path):
+    from tenura.sources.files import land_csv_tables
+
+    (tmp_path / "raw_train_v1.csv").write_text("msno,is_churn\na,1\nb,x\nc,0\nd,1,extra\n")
+    landed, counts = land_csv_tables(spark, str(tmp_path), ["raw_train_v1.csv"], str(tmp_path / "out"))
+    assert [tuple(r) for r in counts.collect()] == [("raw_train_v1", 4, 2)]
+    assert sorted(map(tuple, landed["raw_train_v1"].collect())) == [("a", 1), ("b", None), ("c", 0), ("d", 1)]
+
+
+def test_latest_version_of_one_column(spark):
+    from tenura.operators.merge import merge_prefer_latest
+
+    v1 = spark.createDataFrame([("a", 1), ("b", 1), ("b", None), ("c", 5), ("c", 3)], "msno string, is_churn long")
+    v2 = spark.createDataFrame([("a", 0), ("d", None), ("d", 2), ("a", 4)], "msno string, is_churn long")
+    got = merge_prefer_latest(v1, v2)
+    assert sorted(map(tuple, got.collect())) == [("a", 0), ("b", None), ("c", 3), ("d", None)]
+    wide = merge_prefer_latest(*[df.withColumn("more", df["is_churn"]) for df in (v1, v2)]).drop("more")
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, got.collect()))
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
