@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import bpe, forest, mixing, passages, pii, pst, quality, setsketch, urls, warc
+from tenura.llm import bpe, forest, mixing, oracles, passages, pii, pst, quality, setsketch, urls, warc
 from tenura.session import apply_settings
 
 # The rules of the url query.
@@ -93,4 +93,8 @@ QUERIES = {
         op10_setsketch_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": oracles.QUALITY_RULES,
+    "op2_url_filters": oracles.URL_FILTERS,
+    "op10_setsketch_dedup": oracles.NEAR_DUPLICATES,
+}

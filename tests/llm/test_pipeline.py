@@ -86,3 +86,10 @@ def test_every_query_runs(spark):
     assert set(ORACLES) <= set(QUERIES)
     for name, query in QUERIES.items():
         assert query(spark, SF_SMALL).count() > 0, name
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_its_oracle(spark, name):
+    from checks.compare import connect, differences
+
+    assert differences(QUERIES[name](spark, SF_SMALL), connect(SF_SMALL), ORACLES[name]) is None
