@@ -67,32 +67,29 @@ def rake(
     Each round fits the dimensions in order and is stored. It ends when the largest difference between a marginal
     and its target before a round's fits is at most ``tolerance``, or after ``rounds``.
     """
-    wanted = {d: materialize(complete_targets(cells, d, t), "targets") for d, t in targets.items()}
     total = cells.agg(F.sum("tokens").alias("_total"))
-    state = materialize(
-        cells.join(total, how="cross")
-        .withColumn("weight", F.coalesce(F.col("tokens") / F.col("_total"), F.lit(0.0)))
-        .withColumn("_off", F.lit(0.0))
-        .drop("_total"),
-        "cells",
-    )
+    state = cells.join(total, how="cross").withColumn("weight", F.coalesce(F.col("tokens") / F.col("_total"), F.lit(0.0))).drop("_total")
+    # Each cell carries its targets, so that a fit joins the cells with one sum only.
+    shares = {}
+    for i, (dimension, table) in enumerate(targets.items()):
+        want = complete_targets(cells, dimension, table).withColumnsRenamed({"_v": f"_v{i}", "_s": f"_s{i}"})
+        state = state.join(want, F.col(dimension).eqNullSafe(F.col(f"_v{i}")), "left").drop(f"_v{i}")
+        shares[dimension] = F.coalesce(f"_s{i}", F.lit(0.0))
+    state = materialize(state.withColumn("_off", F.lit(0.0)), "cells")
     for _ in range(rounds):
         fitted = state.withColumn("_off", F.lit(0.0))
-        for dimension, want in wanted.items():
+        for dimension, share in shares.items():
             have = fitted.groupBy(F.col(dimension).alias("_v")).agg(F.sum("weight").alias("_w"))
-            step = have.join(want, have["_v"].eqNullSafe(want["_v"])).select(
-                have["_v"], (F.col("_s") / F.col("_w")).alias("_factor"), F.abs(F.col("_s") - F.col("_w")).alias("_gap")
-            )
             fitted = (
-                fitted.join(step, F.col(dimension).eqNullSafe(F.col("_v")), "left")
-                .withColumn("weight", F.col("weight") * F.coalesce("_factor", F.lit(0.0)))
-                .withColumn("_off", F.greatest("_off", F.coalesce("_gap", F.lit(0.0))))
-                .drop("_v", "_factor", "_gap")
+                fitted.join(have, F.col(dimension).eqNullSafe(F.col("_v")))
+                .withColumn("weight", F.when(F.col("_w") > 0, F.col("weight") * share / F.col("_w")).otherwise(F.lit(0.0)))
+                .withColumn("_off", F.greatest("_off", F.abs(share - F.col("_w"))))
+                .drop("_v", "_w")
             )
         state = materialize(fitted, "cells")
         if (state.agg(F.max("_off")).first()[0] or 0.0) <= tolerance:
             break
-    return state.drop("_off")
+    return state.drop("_off", *[f"_s{i}" for i in range(len(shares))])
 
 
 def calibrate(cells: DataFrame, budget: float | None = None) -> DataFrame:
