@@ -14,10 +14,10 @@ from pyspark.sql.types import StructType
 BATCH_ROWS = 2_000
 
 
-def slices(batch: pa.RecordBatch):
-    """The batch in parts of at most ``BATCH_ROWS`` rows, so that results stay small whatever the sender's batch size."""
-    for first in range(0, batch.num_rows, BATCH_ROWS):
-        yield batch.slice(first, BATCH_ROWS)
+def slices(batch: pa.RecordBatch, rows: int = BATCH_ROWS):
+    """The batch in parts of at most ``rows`` rows, so that results stay small whatever the sender's batch size."""
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
 
 
 def give_back() -> None:
@@ -40,19 +40,23 @@ def task(run: Callable) -> Callable:
 
 
 def map_batches(
-    df: DataFrame, function: Callable, schema: str | StructType, close: Callable[[], None] | None = None
+    df: DataFrame,
+    function: Callable,
+    schema: str | StructType,
+    close: Callable[[], None] | None = None,
+    rows: int = BATCH_ROWS,
 ) -> DataFrame:
     """``df`` through ``function``, which gets a record batch and returns the columns of ``schema`` as a dict.
 
     A dict from a name to a list or array; every column of the result has the type that ``schema`` states. ``close`` is
-    called at the end of each task.
+    called at the end of each task. ``function`` gets ``rows`` rows at most.
     """
     struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(struct)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, rows):
                 columns = function(part)
                 arrays = [_typed(columns[field.name], field.type) for field in target]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)

@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Sequence
-from itertools import chain
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame
 
@@ -27,7 +27,9 @@ from tenura.llm.arrow import map_batches, text_column
 
 MAX_VOCABULARY_BYTES = 16 << 20
 # Distinct pre-tokens remembered by a worker.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
+# Texts whose ids are held as Python lists at a time.
+TEXTS = 256
 
 
 def _byte_characters() -> list[str]:
@@ -108,7 +110,8 @@ class Codec:
         found = self.split.findall if not self.split.groups else lambda t: [m.group() for m in self.split.finditer(t)]
         pieces = found(text or "")
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            # Frequent pre-tokens are met early: the first half stays.
+            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
         self.learn(set(pieces))
         return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
 
@@ -128,6 +131,7 @@ def _codec(model: bytes, pattern: str) -> Codec:
         proto = pb.ModelProto.FromString(model)
         back = {ord(c): b for b, c in enumerate(_CHARACTERS)}
         tokens = [bytes(back[ord(c)] for c in piece.piece) for piece in proto.pieces[:-1]]
+        del proto
         _CODECS[key] = Codec(tokens, pattern, model)
     return _CODECS[key]
 
@@ -178,7 +182,7 @@ def encode_texts(
     last = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
     more = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in keep)
     schema = f"{id_col} {kind}{more}, n_tokens long, {last}"
-    return map_batches(source, run, schema, close=lambda: _codec(*held.value).known.clear())
+    return map_batches(source, run, schema, close=lambda: _codec(*held.value).known.clear(), rows=TEXTS)
 
 
 def decode_ids(
