@@ -19,8 +19,10 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Sequence
-from itertools import chain, islice
+from itertools import islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tenura.llm.arrow import map_batches, text_column
@@ -78,6 +80,9 @@ def model_bytes(tokens: list[bytes]) -> bytes:
     return model.SerializeToString()
 
 
+_ID = np.int32
+
+
 class Codec:
     """Encoder and decoder over one vocabulary."""
 
@@ -87,10 +92,11 @@ class Codec:
 
         self.tokens, self.split = tokens, regex.compile(pattern)
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model or model_bytes(tokens))
-        self.whole = {token: (rank,) for rank, token in enumerate(tokens)}
+        self.whole = {token: _ID(rank).tobytes() for rank, token in enumerate(tokens)}
         self.table = dict(enumerate(_CHARACTERS))
         self.names = [str(i) for i in range(len(tokens))]
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Ids as bytes: a pre-token costs little memory, and those of a text are joined without a loop.
+        self.known: dict[str, bytes] = {}
 
     def learn(self, pieces: set[str]) -> None:
         """Encode pre-tokens not met before."""
@@ -104,16 +110,19 @@ class Codec:
             else:
                 new.append((piece, raw.decode("latin-1").translate(self.table)))
         ids = self.processor.encode([text for _, text in new], num_threads=1) if new else []
-        self.known.update((piece, tuple(found)) for (piece, _), found in zip(new, ids))
+        self.known.update((piece, np.array(found, dtype=_ID).tobytes()) for (piece, _), found in zip(new, ids))
 
-    def encode(self, text: str | None) -> list[int]:
+    def ids(self, text: str | None) -> np.ndarray:
         found = self.split.findall if not self.split.groups else lambda t: [m.group() for m in self.split.finditer(t)]
         pieces = found(text or "")
         if len(self.known) > REMEMBERED:
             # Frequent pre-tokens are met early: the first half stays.
             self.known = dict(islice(self.known.items(), REMEMBERED // 2))
         self.learn(set(pieces))
-        return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype=_ID)
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.ids(text).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -166,17 +175,22 @@ def encode_texts(
         codec = _codec(*held.value)
         texts = text_column(batch, "_text")
         out = {c: text_column(batch, k) for k, c in kept.items()}
-        out |= {id_col: text_column(batch, "_id"), "n_tokens": [], "ids": [], "ids_sha256": [], "decoded_sha256": []}
+        out |= {id_col: text_column(batch, "_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        parts = []
         names = codec.names
         for text in texts:
-            ids = codec.encode(text.as_py())
-            out["n_tokens"].append(len(ids))
+            found = codec.ids(text.as_py())
+            out["n_tokens"].append(len(found))
             if digests:
+                ids = found.tolist()
                 joined = ",".join(map(names.__getitem__, ids))
                 out["ids_sha256"].append(hashlib.sha256(joined.encode("ascii")).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(codec.decode(ids)).hexdigest())
             else:
-                out["ids"].append(ids)
+                parts.append(found)
+        if not digests:
+            ends = np.concatenate(([0], np.cumsum(out["n_tokens"]))).astype(np.int32)
+            out["ids"] = pa.ListArray.from_arrays(ends, np.concatenate(parts) if parts else np.zeros(0, _ID))
         return out
 
     last = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
