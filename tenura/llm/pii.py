@@ -1,14 +1,17 @@
 """Personal data with information-theoretic sanitisation (operator 9).
 
-E-mail addresses, IP addresses, card and phone numbers are the protected entities. A term near an entity discloses it as
+E-mail addresses, IP addresses, card and phone numbers are the protected entities. A term in a text with an entity discloses it as
 far as knowing the term makes the entity likely: with ``IC(e) = log(N / n(e))`` and the pointwise mutual information
 ``PMI(t, e) = log(N * n(t, e) / (n(t) * n(e)))``, the term gives away the share ``PMI / IC`` of what the entity hides.
-``N`` and ``n`` count texts of the whole corpus. Terms whose share reaches ``disclosure``, seen near the entity in
-``support`` texts or more, are generalised in the texts that hold the entity; other texts stay as they are.
+``N`` and ``n`` count texts of the whole corpus, ``n(t, e)`` those that hold both, however far apart. Terms whose share
+reaches ``disclosure``, met together with the entity in ``support`` texts or more, are generalised at all their places in the
+texts that hold the entity; other texts stay as they are.
 
-One pass finds entities and the terms around them, another counts the texts of each term (summed inside each task
-before it is shuffled). Only (entity, term) pairs and their places are shuffled afterwards, never texts, and lists are
-only gathered for one text at a time.
+One pass finds entities, another counts the texts of each term (summed inside each task before it is shuffled). Entities of
+fewer than ``support`` texts cannot be disclosed, nor can any entity by a term of more texts than ``n(e) * (N / n(e)) ** (1 -
+disclosure)``; a third pass gives the terms left, with their places, of the texts that hold an entity left. Equal texts are
+followed once, with their number, and so are entities of the same texts. Texts are never shuffled, and lists are only
+gathered for one text at a time.
 
 Edge cases: a null or empty text has no spans; ids may be null or repeated, each row gets its own result; other columns are
 ignored by :func:`find_personal_data` and kept by :func:`redact`. An empty table gives an empty result. Positions count
@@ -20,19 +23,22 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenura.llm import bitmap
 from tenura.llm.arrow import keep_rows, map_batches, text_column
 from tenura.llm.words import chunks, mix
 from tenura.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-NEAR_WORDS = 10
+# A term counts at any distance from an entity.
+NEAR_WORDS = sys.maxsize
 SUPPORT = 2
 DISCLOSURE = 0.9
 
@@ -96,25 +102,14 @@ def _key(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8"), digest_size=8).digest(), "big", signed=True)
 
 
-def _around(text: str, spans, hashes: np.ndarray, near: int) -> list[dict]:
-    """The words near each entity that overlap no entity: entity, term, start, end."""
+def _free(text: str, spans) -> list[tuple[int, int, bool]]:
+    """Start and end of each word of a text, and whether it overlaps no entity."""
     places = [m.span() for m in _WORD.finditer(text)]
     starts, ends = np.array([p[0] for p in places]), np.array([p[1] for p in places])
     free = np.ones(len(places), dtype=bool)
-    touched = []
     for _, start, end in spans:
-        first, last = int(np.searchsorted(ends, start, side="right")), int(np.searchsorted(starts, end))
-        free[first:last] = False
-        touched.append((first, last))
-    out = {}
-    for (kind, start, end), (first, last) in zip(spans, touched):
-        entity = _key(f"{kind}:{text[start:end]}")
-        for i in (*range(max(0, first - near), first), *range(last, min(len(places), last + near))):
-            if free[i]:
-                out[entity, places[i][0]] = {
-                    "entity": entity, "term": int(hashes[i]), "start": places[i][0], "end": places[i][1],
-                }
-    return list(out.values())
+        free[int(np.searchsorted(ends, start, side="right")) : int(np.searchsorted(starts, end))] = False
+    return [(*place, own) for place, own in zip(places, free)]
 
 
 def _telling(column) -> np.ndarray:
@@ -122,22 +117,13 @@ def _telling(column) -> np.ndarray:
     return np.concatenate([c.sums(_TELLING[c.data]) > 0 for c in chunks(column)] or [np.zeros(0, dtype=bool)])
 
 
-def _scan(column, near: int | None):
-    """Base spans and, unless ``near`` is None, candidate terms of each text of a column."""
-    spans, candidates = [], []
-    for chunk in chunks(column):
-        hashes = chunk.word_hashes().view(np.int64) if near is not None else None
-        flagged = chunk.sums(_TELLING[chunk.data]) > 0
-        for i in range(chunk.last - chunk.first):
-            text = column[chunk.first + i].as_py() if flagged[i] else None
-            found = base_spans(text) if text else []
-            spans.append(found)
-            own = hashes[chunk.word_edges[i] : chunk.word_edges[i + 1]] if found and near is not None else None
-            candidates.append(_around(text, found, own, near) if own is not None else [])
-    return spans, candidates
-
-
-_CANDIDATES = "array<struct<entity:long,term:long,start:int,end:int>>"
+def _scan(column) -> list[list[tuple[str, int, int]]]:
+    """Base spans of each text of a column."""
+    spans = []
+    for value, flagged in zip(column, _telling(column)):
+        text = value.as_py() if flagged else None
+        spans.append(base_spans(text) if text else [])
+    return spans
 
 
 def term_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -156,40 +142,75 @@ def term_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.groupBy("term").agg(F.sum("n_term").alias("n_term"))
 
 
-def disclosing_pairs(
-    scanned: DataFrame, counts: DataFrame, n_texts: int, support: int = SUPPORT, disclosure: float = DISCLOSURE
-) -> DataFrame:
-    """The (entity, term) pairs whose term gives away at least ``disclosure`` of the entity.
+def _disclosable(scanned: DataFrame, n_texts: int, support: int) -> DataFrame:
+    """Distinct texts with entities that terms can disclose: ``_text_key``, rows ``m``, ``entities``, ``n_entity``.
 
-    ``scanned`` has one row per text with ``_candidates``; ``counts`` the texts of each term.
+    ``entities`` stands for all entities of the same texts, as terms disclose either all of them or none.
     """
-    pairs = scanned.select("_row", F.explode("_candidates").alias("c")).select("_row", "c.entity", "c.term")
-    joint = pairs.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    # A text holds an entity whether or not it has words around it.
-    entities = (
-        scanned.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    texts = scanned.where(F.size("_entities") > 0).groupBy("_text_key").agg(
+        F.count(F.lit(1)).alias("m"), F.first("_entities").alias("_entities")
     )
-    share = 1 + F.log(F.col("n_both") / F.col("n_term")) / F.log(F.lit(float(n_texts)) / F.col("n_entity"))
-    return (
-        joint.where(F.col("n_both") >= support)
-        .join(entities.where(F.col("n_entity") < n_texts), "entity")
-        .join(counts, "term")
-        .where(share >= disclosure)
-        .select("entity", "term")
+    pairs = texts.select("_text_key", "m", F.explode("_entities").alias("entity"))
+    each = pairs.groupBy("entity").agg(
+        F.sum("m").alias("n_entity"),
+        F.sum(F.xxhash64("_text_key") % (1 << 40)).alias("_s"), F.bit_xor(F.xxhash64("_text_key")).alias("_x"),
     )
+    each = each.where((F.col("n_entity") >= support) & (F.col("n_entity") < n_texts))
+    named = each.select("entity", "n_entity", F.xxhash64("n_entity", "_s", "_x").alias("entities"))
+    return materialize(pairs.join(named, "entity").drop("entity").distinct(), "pii-texts")
+
+
+_PLACES = "array<struct<start:int,end:int>>"
+
+
+def _term_places(df: DataFrame, text_col: str, texts, terms) -> DataFrame:
+    """Every free place of the wanted terms in the wanted texts: ``_text_key``, ``term``, ``_places``.
+
+    ``texts`` and ``terms`` are broadcast bitmaps.
+    """
+
+    def run(batch):
+        column, out, done = text_column(batch, "_text"), {c: [] for c in ("_text_key", "term", "_places")}, set()
+        for chunk in chunks(column):
+            hashes = chunk.word_hashes()
+            for i in np.flatnonzero(chunk.sums(_TELLING[chunk.data]) > 0):
+                text = column[chunk.first + int(i)].as_py()
+                key = _key(text)
+                if key in done or not bitmap.holds(texts.value, np.array([key], dtype=np.int64))[0]:
+                    continue
+                done.add(key)
+                own = hashes[chunk.word_edges[i] : chunk.word_edges[i + 1]]
+                wanted, held = bitmap.holds(terms.value, own), {}
+                for term, able, (start, end, free) in zip(own.view(np.int64).tolist(), wanted, _free(text, base_spans(text))):
+                    if able and free:
+                        held.setdefault(term, []).append({"start": start, "end": end})
+                out["_text_key"] += [key] * len(held)
+                out["term"] += held
+                out["_places"] += held.values()
+        return out
+
+    source = df.select(df[text_col].cast("string").alias("_text"))
+    rows = map_batches(source, run, f"_text_key long, term long, _places {_PLACES}")
+    return rows.groupBy("_text_key", "term").agg(F.first("_places").alias("_places"))
+
 
+def _most(n_texts: int, disclosure: float):
+    """The most texts that a term can have to disclose an entity, a little more for rounding."""
+    n = F.col("n_entity")
+    return (1 + 1e-9) * n * F.pow(F.lit(float(n_texts)) / n, F.lit(1.0 - disclosure))
 
-def _scanned(df: DataFrame, id_col: str, text_col: str, near: int) -> DataFrame:
-    """One stored row per text: id, key of the text, counts, base spans, entities and candidates."""
+
+def _scanned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One stored row per text: id, key of the text, counts, base spans and entities."""
     kind = df.schema[id_col].dataType.simpleString()
     source = df.select(df[id_col].alias("_id"), df[text_col].cast("string").alias("_text"))
     counted = ", ".join(f"n_{k} long" for k in KINDS)
-    schema = f"{id_col} {kind}, {counted}, _base string, _entities array<long>, _candidates {_CANDIDATES}, _text_key long"
+    schema = f"{id_col} {kind}, {counted}, _base string, _entities array<long>, _text_key long"
 
     def run(batch):
         column = text_column(batch, "_text")
-        spans, candidates = _scan(column, near)
-        out = {id_col: text_column(batch, "_id"), "_base": [joined(s) for s in spans], "_candidates": candidates}
+        spans = _scan(column)
+        out = {id_col: text_column(batch, "_id"), "_base": [joined(s) for s in spans]}
         out["_entities"], out["_text_key"] = [], []
         for i, found in enumerate(spans):
             text = column[i].as_py() if found else ""
@@ -199,24 +220,39 @@ def _scanned(df: DataFrame, id_col: str, text_col: str, near: int) -> DataFrame:
             out[f"n_{k}"] = [sum(s[0] == k for s in found) for found in spans]
         return out
 
-    rows = map_batches(source, run, schema).withColumn("_row", F.monotonically_increasing_id())
-    return materialize(rows, "pii-scan")
+    return materialize(map_batches(source, run, schema), "pii-scan")
 
 
-def _spans(df: DataFrame, id_col: str, text_col: str, near: int, support: int, disclosure: float) -> DataFrame:
-    """The scanned rows with the spans of disclosing terms, ordered by start, in ``_terms``."""
-    scanned = _scanned(df, id_col, text_col, near)
+def _terms(df: DataFrame, scanned: DataFrame, text_col: str, support: int, disclosure: float) -> DataFrame:
+    """``_text_key`` and ``_terms``, the places of disclosing terms by start, of the distinct texts that have any."""
     n_texts = scanned.count()
-    pairs = disclosing_pairs(scanned, term_counts(df, text_col), n_texts, support, disclosure)
-    places = scanned.select("_row", F.explode("_candidates").alias("c")).select("_row", "c.*")
-    terms = (
-        places.join(pairs, ["entity", "term"], "left_semi")
-        .groupBy("_row")
-        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_terms"))
+    texts = _disclosable(scanned, n_texts, support)
+    most = texts.agg(F.max(_most(n_texts, disclosure))).first()[0] or 0.0
+    counts = term_counts(df, text_col).where((F.col("n_term") >= support) & (F.col("n_term") <= most))
+    counts = materialize(counts, "pii-counts")
+    context = df.sparkSession.sparkContext
+    wanted = (bitmap.build(texts.select("_text_key").distinct(), "_text_key"), bitmap.build(counts, "term"))
+    places = _term_places(df, text_col, *(context.broadcast(b) for b in wanted)).join(counts, "term")
+    places = materialize(places, "pii-terms")
+    able = F.col("n_term") <= _most(n_texts, disclosure)
+    met = places.join(texts, "_text_key").where(able)
+    joint = met.groupBy("entities", "n_entity", "term", "n_term").agg(F.sum("m").alias("n_both"))
+    share = 1 + F.log(F.col("n_both") / F.col("n_term")) / F.log(F.lit(float(n_texts)) / F.col("n_entity"))
+    pairs = joint.where((F.col("n_both") >= support) & (share >= disclosure)).select("entities", "term")
+    return (
+        met.join(pairs, ["entities", "term"], "left_semi")
+        .groupBy("_text_key")
+        .agg(F.sort_array(F.flatten(F.collect_set("_places"))).alias("_terms"))
     )
-    # Only texts with candidates meet the terms; the others keep their place.
-    with_terms = scanned.where(F.size("_candidates") > 0).join(terms, "_row", "left")
-    without = scanned.where(F.size("_candidates") == 0)
+
+
+def _spans(df: DataFrame, id_col: str, text_col: str, support: int, disclosure: float) -> DataFrame:
+    """The scanned rows with the spans of disclosing terms, ordered by start, in ``_terms``."""
+    scanned = _scanned(df, id_col, text_col)
+    terms = _terms(df, scanned, text_col, support, disclosure)
+    # Only texts with entities meet the terms; the others keep their place.
+    with_terms = scanned.where(F.size("_entities") > 0).join(terms, "_text_key", "left")
+    without = scanned.where(F.size("_entities") == 0)
     return with_terms.unionByName(without, allowMissingColumns=True)
 
 
@@ -224,12 +260,11 @@ def find_personal_data(
     df: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    near: int = NEAR_WORDS,
     support: int = SUPPORT,
     disclosure: float = DISCLOSURE,
 ) -> DataFrame:
     """Id, counts per kind, ``base`` spans and all ``spans`` of every text, as ``kind:start:end`` joined by commas."""
-    rows = _spans(df, id_col, text_col, near, support, disclosure)
+    rows = _spans(df, id_col, text_col, support, disclosure)
     added = F.transform("_terms", lambda s: F.concat_ws(":", F.lit(TERM), s["start"], s["end"]))
     return rows.select(
         id_col,
@@ -256,7 +291,6 @@ def redact(
     df: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    near: int = NEAR_WORDS,
     support: int = SUPPORT,
     disclosure: float = DISCLOSURE,
 ) -> DataFrame:
@@ -264,13 +298,7 @@ def redact(
 
     Only texts that can hold an entity are joined with the terms found for them.
     """
-    rows = _spans(df, id_col, text_col, near, support, disclosure)
-    # Rows with one id and text have equal spans.
-    terms = (
-        rows.where(F.size("_terms") > 0)
-        .groupBy("_text_key")
-        .agg(F.first("_terms").alias("_terms"))
-    )
+    terms = _terms(df, _scanned(df, id_col, text_col), text_col, support, disclosure)
     calm = keep_rows(df, lambda column: ~_telling(column), text_col)
     telling = keep_rows(df, _telling, text_col)
     keyed = map_batches_with_key(telling, text_col)

@@ -142,3 +142,20 @@ def test_query_digest(spark, letters):
     df = spark.createDataFrame(list(letters.items()), "doc_id long, text string")
     rows = pii.find_personal_data(df).select("doc_id", "base", F.sha2("base", 256).alias("s")).collect()
     assert all(r.s == hashlib.sha256(r.base.encode()).hexdigest() for r in rows)
+
+
+def test_a_disclosing_term_goes_at_every_distance(spark):
+    rng = random.Random(2)
+    filler = lambda k: " ".join(rng.choices(["the", "of", "and", "to"], k=k))
+    texts = {i: filler(40) for i in range(60)}
+    texts[1] = f"Zelda Quux {filler(30)} call +1 (499) 555-6503 zelda {filler(50)} ZELDA"
+    texts[2] = f"+1 (499) 555-6503 {filler(80)} zelda {filler(3)} quux"
+    texts[3] = texts[2]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    wanted = disclosing(texts, pii.SUPPORT, pii.DISCLOSURE, 10**9)
+    assert len(wanted[1]) == 4 and len(wanted[2]) == len(wanted[3]) == 2
+    for row in pii.find_personal_data(df).collect():
+        terms = [tuple(map(int, s.split(":")[1:])) for s in row.spans.split(",") if s.startswith("term")]
+        assert terms == wanted.get(row.doc_id, [])
+    redacted = {r.doc_id: r.text.lower() for r in pii.redact(df).collect()}
+    assert not any(w in redacted[i] for i in (1, 2, 3) for w in ("zelda", "quux", "555"))
