@@ -110,3 +110,45 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
     AS kept
 FROM counts
 """
+
+HARD_NEGATIVES = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM met WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER best AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN met m ON m.anchor_id = p.anchor_id AND NOT m.same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER best <= 3
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+"""
+
+FILL_IN_MIDDLE = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM texts),
+cut AS (
+  SELECT doc_id, text, n, form, least(a, b) AS i, greatest(a, b) AS j, substr(text, 1, least(a, b)) AS p,
+    substr(text, least(a, b) + 1, greatest(a, b) - least(a, b)) AS m, substr(text, greatest(a, b) + 1) AS s
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN j - i END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""

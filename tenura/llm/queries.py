@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import bpe, forest, mixing, oracles, passages, pii, pst, quality, setsketch, urls, warc
+from tenura.llm import bond, bpe, fim, forest, mixing, oracles, passages, pii, pst, quality, setsketch, shards, urls, warc
 from tenura.session import apply_settings
 
 # The rules of the url query.
@@ -85,16 +85,36 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), size=2)
 
 
+def op11_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.hard_negatives(vectors, F.col("vec_id") % 50 == 0, label=shifted)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return shards.place_documents(documents, shards.tree(), shards.tree(shards.SHARDS + 1))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_url_filters, op3_source_mixing, op4_suffix_tree, op5_compact_windows, op6_byte_bpe,
         op7_warc_derivatives, op8_projection_forest, op9_personal_data,
-        op10_setsketch_dedup,
+        op10_setsketch_dedup, op11_bond_negatives, op12_fill_in_middle, op13_hash_tree_shards,
     )
 }
 ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY_RULES,
     "op2_url_filters": oracles.URL_FILTERS,
     "op10_setsketch_dedup": oracles.NEAR_DUPLICATES,
+    "op11_bond_negatives": oracles.HARD_NEGATIVES,
+    "op12_fill_in_middle": oracles.FILL_IN_MIDDLE,
 }
