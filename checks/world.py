@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tenura.operators import features, membership, merge, transform
 from tenura.plans.preprocess import PREVIOUS_COLUMNS, sequence_table
 from tenura.session import apply_settings, scratch_dir
-from tenura.sources import star_schema
+from tenura.sources import layout, star_schema
 
 
 class World:
@@ -27,6 +27,11 @@ class World:
     def logs(self) -> DataFrame:
         return star_schema.user_logs(self.spark, self.sf_dir)
 
+    @cached_property
+    def monthly(self) -> DataFrame:
+        """The usage, stored by month."""
+        return layout.read_by_month(self.spark, layout.write_by_month(self.logs, self.folder("usage")))
+
     @cached_property
     def raw_members(self) -> DataFrame:
         return star_schema.raw_members(self.spark, self.sf_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenura.functions.months import MONTH, in_months
 from tenura.operators.sequence import days_between
 from tenura.session import materialize
 
@@ -146,8 +147,11 @@ def logs_in_membership(logs: DataFrame, last_txn: DataFrame) -> DataFrame:
     """Usage rows from the reference payment up to the day before the expiry.
 
     The window is unfolded into its days and joined on (user, day): an equi join whose key is as fine
-    as the usage itself, and the same one ``daily_usage`` leaves its output partitioned by.
+    as the usage itself, and the same one ``daily_usage`` leaves its output partitioned by. Of usage stored by month
+    (``sources.layout``), only the months that a window meets are read.
     """
+    if MONTH in logs.columns:
+        logs = in_months(logs, last_txn, "log_start_date", "log_end_date")
     days = F.sequence("log_start_date", F.date_sub("log_end_date", 1))
     window = last_txn.where(F.col("log_start_date") < F.col("log_end_date")).select(
         "user_id", "log_end_date", "membership_period", F.explode(days).alias("date")
@@ -462,8 +466,8 @@ def feature_table(
     """``ml_features`` straight from members, payments and usage.
 
     The same table as composing the single operators, with each input exchanged once. The snapshot, one row per
-    member, is stored first: its first and last day bound the scan of the usage, and its users are all whose usage is
-    summed and exchanged.
+    member, is stored first: its first and last day bound the scan of the usage, its months those of usage stored by
+    month, and its users are all whose usage is summed and exchanged.
     """
     snapshot = materialize(payment_snapshot(members, seq), "snapshot")
     found = F.col("found")
@@ -475,7 +479,8 @@ def feature_table(
     )
     bounds = window.agg(F.min("log_start_date").alias("low"), F.max("log_end_date").alias("high")).first()
     inside = (F.col("date") >= F.lit(bounds["low"])) & (F.col("date") < F.lit(bounds["high"]))
-    used = logs.where(inside).join(window.select("user_id"), "user_id", "left_semi")
+    used = in_months(logs, window, "log_start_date", "log_end_date") if MONTH in logs.columns else logs
+    used = used.where(inside).join(window.select("user_id"), "user_id", "left_semi")
     profile = usage_profile(logs_in_membership(daily_usage(used), window), weekday_mode)
     features = _complete(snapshot, profile, None)
 

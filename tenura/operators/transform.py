@@ -78,6 +78,18 @@ def int_date_report(df: DataFrame, names: Sequence[str] = DATE_COLUMNS) -> DataF
     return figures.select("total", F.inline(rows)).select("column_name", "total", "f.*")
 
 
+def int_date_reports(tables: Mapping[str, DataFrame], names: Sequence[str] = DATE_COLUMNS) -> DataFrame:
+    """``int_date_report`` of every table that has such a column, with its ``table_name``; one scan of each."""
+    reports = [
+        int_date_report(df, names).select(F.lit(name).alias("table_name"), "*")
+        for name, df in tables.items()
+        if _int_date_columns(df, names)
+    ]
+    if not reports:
+        raise ValueError("no integer date column to report on")
+    return reduce(DataFrame.unionByName, reports)
+
+
 def nullify_out_of_range(
     df: DataFrame, column: str, min_val: float | None = None, max_val: float | None = None
 ) -> DataFrame:

@@ -18,10 +18,11 @@ from tenura.operators.transform import (
     add_plan_days_diff,
     convert_unit,
     encode_gender,
+    int_date_reports,
     nullify_out_of_range,
     parse_int_dates,
 )
-from tenura.session import materialize
+from tenura.session import materialize, stages
 from tenura.sources.tables import rename_key_column
 
 BASE_NAMES = ("raw_train", "raw_transactions", "raw_user_logs", "raw_members")
@@ -84,15 +85,23 @@ def preprocess(
     """Run the whole pipeline on raw tables ``raw_<name>_v<n>`` keyed by ``msno``.
 
     Returns ``train_merge``, ``transactions_merge``, ``user_logs_merge``, ``members_merge``,
-    ``transactions_seq``, ``user_id_map`` and ``exclusion_counts``. Both raw train versions are
-    needed for the label transition.
+    ``transactions_seq``, ``user_id_map``, ``exclusion_counts`` and ``date_report``, which counts the integer dates of the
+    raw tables that are no date. Both raw train versions are needed for the label transition.
 
     What decides about a user is found first, so that the large usage table is scanned once for its
-    keys and times and joined once, to the users that remain.
+    keys and times and joined once, to the users that remain. Of the tables stored on the way, those that no result reads are
+    deleted at the end.
     """
     missing = [n for n in ("raw_train_v1", "raw_train_v2") if n not in tables]
     if missing:
         raise ValueError(f"missing tables: {missing}")
+    with stages(tables["raw_train_v1"].sparkSession) as stored:
+        result = _preprocessed(tables, settings)
+        stored.release(*result.values())
+    return result
+
+
+def _preprocessed(tables: Mapping[str, DataFrame], settings: PreprocessSettings) -> dict[str, DataFrame]:
     merged = merge_versions(tables, BASE_NAMES)
     names = [f"{base.removeprefix('raw_')}_merge" for base in BASE_NAMES]
     targets = {name: merged[name] for name in names}
@@ -135,4 +144,5 @@ def preprocess(
         "transactions_seq": seq,
         "user_id_map": id_map,
         "exclusion_counts": cohort.exclusion_counts(flags),
+        "date_report": int_date_reports(tables),
     }

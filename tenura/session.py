@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,5 +73,60 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    stages = _OPEN.get()
+    if stages is not None:
+        stages.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Stages:
+    """The tables that :func:`materialize` has stored since a block of :func:`stages` began."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def release(self, *results: DataFrame) -> list[str]:
+        """Delete the tables that no plan of ``results`` reads; returns the paths of those that stay."""
+        read = {root for df in results for root in _roots(df)}
+        kept = []
+        for path in self.paths:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            store = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if store.makeQualified(at).toString() in read:
+                kept.append(path)
+            else:
+                store.delete(at, True)
+        self.paths = kept
+        return kept
+
+
+_OPEN: ContextVar[Stages | None] = ContextVar("open_stages", default=None)
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[Stages]:
+    """A block whose stored tables can be released; what is not released belongs to the block around it."""
+    held, outer = Stages(spark), _OPEN.get()
+    token = _OPEN.set(held)
+    try:
+        yield held
+    finally:
+        _OPEN.reset(token)
+        if outer is not None:
+            outer.paths += held.paths
+
+
+def _roots(df: DataFrame) -> set[str]:
+    """The folders that the files of a plan lie in."""
+    found, leaves = set(), df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() == "HadoopFsRelation":
+            roots = relation.location().rootPaths().iterator()
+            while roots.hasNext():
+                found.add(roots.next().toString())
+    return found
