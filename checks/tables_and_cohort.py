@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from checks.world import World, survivors
+from tenura.functions.asof import as_of
 from tenura.operators import cohort, keys, membership, merge, sequence, transform
 from tenura.sources import files, tables
 
@@ -615,3 +616,24 @@ check(
     "SELECT * FROM members5",
     "members5",
 )
+
+
+def _payment_at_usage(w: World) -> DataFrame:
+    paid = w.seq.withColumnRenamed("transaction_date", "date")
+    carried = {"payment_plan_days": "plan_days", "membership_expire_date": "expires", "sequence_group_id": "group_id"}
+    return as_of(w.logs.select("user_id", "date"), paid, "user_id", "date", carried, ("sequence_group_id", "sequence_id"))
+
+
+check(
+    "payment_as_of_usage",
+    "b:user_id t:date b:plan_days t:expires b:group_id",
+    _payment_at_usage,
+    """SELECT ul.user_id, ul.date, p.payment_plan_days AS plan_days, p.membership_expire_date AS expires,
+      p.sequence_group_id AS group_id
+    FROM ul ASOF LEFT JOIN (
+      SELECT user_id, transaction_date AS date, unnest(max({'g': sequence_group_id, 's': sequence_id,
+        'payment_plan_days': payment_plan_days, 'membership_expire_date': membership_expire_date,
+        'sequence_group_id': sequence_group_id})) FROM seq GROUP BY 1, 2) p
+      ON ul.user_id = p.user_id AND ul.date >= p.date""",
+    "ul", "seq",
+)

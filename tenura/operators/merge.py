@@ -7,14 +7,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
+
+from tenura.functions.packing import DECIMAL_BITS, Packing, Part, parts_of
 
 
 def merge_prefer_latest(v1: DataFrame, v2: DataFrame, key: str = "msno") -> DataFrame:
     """One row per key, from ``v2`` where it has the key.
 
     Several rows of one version with the same key: the smallest by the remaining columns, NULL first. Written as
-    an aggregation, so rows are reduced before the exchange and no key is gathered in a window. A single remaining
-    column, as in the label tables, needs no struct and is aggregated by hashing, without a sort.
+    an aggregation, so rows are reduced before the exchange and no key is gathered in a window. Where the remaining columns
+    are packed into a number, or there is one of any type, as in the label tables, it is aggregated by hashing, without a sort.
     """
     rest = [column for column in v2.columns if column != key]
     both = v2.withColumn("_priority", F.lit(0)).unionByName(v1.withColumn("_priority", F.lit(1)))
@@ -28,6 +31,12 @@ def merge_prefer_latest(v1: DataFrame, v2: DataFrame, key: str = "msno") -> Data
         chosen = F.when(F.col("_rows0") > 0, F.when(F.col("_nulls0") == 0, F.col("_least0")))
         chosen = chosen.otherwise(F.when(F.col("_nulls1") == 0, F.col("_least1"))).alias(rest[0])
         return both.groupBy(key).agg(*sums).select(*[F.col(c) if c == key else chosen for c in v2.columns])
+    priority, parts = Part("_priority", IntegerType(), 0, 1), parts_of(both, rest)
+    if parts is not None and priority.bits + sum(p.bits for p in parts) <= DECIMAL_BITS:
+        packing = Packing(priority, *parts)
+        values = packing.unpack(F.col("_best"))
+        best = both.groupBy(key).agg(F.min(packing.pack()).alias("_best"))
+        return best.select(*[F.col(c) if c == key else values[c].alias(c) for c in v2.columns])
     best = both.groupBy(key).agg(F.min(F.struct("_priority", *rest)).alias("_best"))
     return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in v2.columns])
 
