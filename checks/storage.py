@@ -1,19 +1,22 @@
-"""Queries for stored layouts: usage by month, tables by user, and the export of the pipeline (inventory A, F)."""
+"""Queries for stored layouts, the export of the pipeline, and samples (inventory A, C, F, G)."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.features_and_reports import _ML, _d
+from checks.features_and_reports import _ML, _USAGE, _d
 from checks.registry import check
 from checks.tables_and_cohort import LOGS
 from checks.world import World, survivors
-from tenura.operators import features
+from tenura.functions import sampling
+from tenura.operators import cohort, features, reports
 from tenura.plans.export import Exported, export_run
-from tenura.sources import layout
+from tenura.session import materialize
+from tenura.sources import layout, tables
 
 check(
     "usage_by_month",
@@ -117,3 +120,85 @@ check(
       UNION ALL SELECT 'raw_members_v3', 'registration_init_time', registration_init_time FROM mem) x GROUP BY 1, 2""",
     "tx", "ul", "mem", "raw_members",
 )
+
+
+# --- samples: their size, that their rows are rows of the table, and that they repeat in another layout ---
+
+_SAMPLE = "b:n_rows,n_users,n_found,n_again"
+_LOG_KEY = ("user_id", "date")
+
+
+def _sample_facts(sample: DataFrame, again: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    sample = materialize(sample, "facts")
+    found = sample.join(rows.select(*key).distinct(), list(key), "left_semi").agg(F.count(F.lit(1)).alias("n_found"))
+    same = sample.intersectAll(again).agg(F.count(F.lit(1)).alias("n_again"))
+    size = sample.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(*key).alias("n_users"))
+    return size.crossJoin(F.broadcast(found)).crossJoin(F.broadcast(same))
+
+
+def _sampled_logs(w: World, size: int, cell_rows: int = sampling.CELL_ROWS) -> DataFrame:
+    sample = sampling.exact_sample(w.logs, size, _LOG_KEY, cell_rows=cell_rows)
+    return _sample_facts(sample, sampling.exact_sample(w.logs.repartition(5), size, _LOG_KEY), w.logs, _LOG_KEY)
+
+
+for _name, _cell in (("exact_sample", sampling.CELL_ROWS), ("exact_sample_rounds", 1)):
+    check(
+        _name,
+        _SAMPLE,
+        lambda w, cell=_cell: _sampled_logs(w, 250, cell),
+        "SELECT n AS n_rows, n AS n_users, n AS n_found, n AS n_again FROM (SELECT least(COUNT(*), 250) AS n FROM ul) x",
+        "ul",
+    )
+check(
+    "exact_sample_of_all",
+    LOGS,
+    lambda w: sampling.exact_sample(w.logs, 10**9, _LOG_KEY),
+    "SELECT * FROM ul",
+    "ul",
+)
+check(
+    "table_sample",
+    _SAMPLE,
+    lambda w: _sample_facts(
+        tables.table_sample(w.raw_members, 7, ["user_id"]), tables.table_sample(w.raw_members.repartition(3), 7, ["user_id"]),
+        w.raw_members, ["user_id"],
+    ),
+    "SELECT n AS n_rows, n AS n_users, n AS n_found, n AS n_again FROM (SELECT least(COUNT(*), 7) AS n FROM raw_members) x",
+    "raw_members",
+)
+_REMOVED = """SELECT DISTINCT table_name, user_id FROM rows4 WHERE user_id IN (SELECT user_id FROM pairs)"""
+
+
+def _removed(w: World, size: int) -> DataFrame:
+    return cohort.removed_samples(w.tables, cohort.drop_same_day_duplicates(w.tables, w.tx), size)
+
+
+check("filter_impact_removed_keys", "s:table_name b:user_id", lambda w: _removed(w, 10**9), _REMOVED, "rows4", "pairs")
+check(
+    "filter_impact_removed_sample",
+    "s:table_name b:n_keys",
+    lambda w: _removed(w, 5).groupBy("table_name").agg(F.countDistinct("user_id").alias("n_keys")),
+    f"SELECT table_name, least(COUNT(*), 5) AS n_keys FROM ({_REMOVED}) x GROUP BY 1",
+    "rows4", "pairs",
+)
+check(
+    "clip_distribution_sample",
+    "b:count,null_count,outside",
+    lambda w: reports.clip_distribution(w.logs, "total_secs", 0, 86400, sample_size=300, sample_key=_LOG_KEY)["regions"]
+    .where("region = 'overall'")
+    .select("count", "null_count", ((F.col("min") < 0) | (F.col("max") > 1e9)).cast("int").alias("outside")),
+    "SELECT least(COUNT(*), 300) AS count, 0 AS null_count, 0 AS outside FROM ul",
+    "ul",
+)
+check(
+    "correlation_pairs_sample",
+    "s:col_a,col_b b:n_rows,sane",
+    lambda w: reports.correlation_pairs(w.logs, null_handling="fillzero", sample_size=300, sample_key=_LOG_KEY).select(
+        "col_a", "col_b", "n_rows", (F.abs("r") <= 1 + 1e-9).cast("int").alias("sane")
+    ),
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, least(COUNT(*), 300) AS n_rows, 1 AS sane FROM ul"
+        for i, a in enumerate(_USAGE) for b in _USAGE[i + 1 :]
+    ),
+    "ul",
+)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tenura.functions.bins import percent
 from tenura.functions.ordered import HOT_ROWS, Lag, ordered
+from tenura.functions.sampling import SEED, exact_sample
 from tenura.operators.sequence import transaction_order
 
 Tables = Mapping[str, DataFrame]
@@ -290,9 +291,22 @@ def filter_impact(before: Tables, after: Tables, key: str = "user_id") -> DataFr
     )
 
 
-def removed_sample(before: DataFrame, after: DataFrame, size: int = 5, key: str = "user_id") -> DataFrame:
-    """Some of the keys a filter removed from a table."""
-    return before.select(key).distinct().join(after.select(key), key, "left_anti").limit(size)
+def removed_keys(before: DataFrame, after: DataFrame, key: str = "user_id") -> DataFrame:
+    """The keys a filter removed from a table."""
+    return before.select(key).distinct().join(after.select(key), key, "left_anti")
+
+
+def removed_sample(before: DataFrame, after: DataFrame, size: int = 5, key: str = "user_id", seed: int = SEED) -> DataFrame:
+    """Some of the keys a filter removed from a table, the same on every run."""
+    return exact_sample(removed_keys(before, after, key), size, [key], seed)
+
+
+def removed_samples(before: Tables, after: Tables, size: int = 5, key: str = "user_id", seed: int = SEED) -> DataFrame:
+    """``removed_sample`` of every table, with its ``table_name``."""
+    samples = [
+        removed_sample(df, after[name], size, key, seed).select(F.lit(name).alias("table_name"), key) for name, df in before.items()
+    ]
+    return reduce(DataFrame.union, samples)
 
 
 # The exclusion rules in the order they are applied (fixed step numbers and names).

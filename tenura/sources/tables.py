@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.functions.sampling import SEED, exact_sample
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -105,6 +107,6 @@ def table_profile(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, [profile(name, df) for name, df in tables.items()])
 
 
-def table_sample(df: DataFrame, size: int = 5) -> DataFrame:
-    """The first rows of a table, in no particular order."""
-    return df.limit(size)
+def table_sample(df: DataFrame, size: int = 5, key: Sequence[str] | None = None, seed: int = SEED) -> DataFrame:
+    """Some rows of a table: the first ones met, in no particular order, or with a ``key`` the same on every run."""
+    return df.limit(size) if key is None else exact_sample(df, size, key, seed)
