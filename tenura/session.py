@@ -28,6 +28,8 @@ START_SETTINGS = {
 }
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# A stored table has no more files than a few per core, or than its bytes fill.
+FILES_PER_CORE, FILE_BYTES = 4, 16 * 1024 * 1024
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
@@ -65,6 +67,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
+def compact(df: DataFrame) -> DataFrame:
+    """``df`` in no more parts than a few per core, or than its estimated bytes fill; without a shuffle.
+
+    Small tables out of many tasks would be many tiny files, each of which costs more to create than its rows. The estimate
+    of a plan is too large rather than too small, and then nothing is merged.
+    """
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().analyzed().stats().sizeInBytes().toString())
+    parts = max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES))
+    return df.coalesce(parts) if parts < 1 << 20 else df
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
@@ -76,7 +90,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     stages = _OPEN.get()
     if stages is not None:
         stages.paths.append(path)
-    df.write.parquet(path)
+    compact(df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
