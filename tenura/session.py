@@ -74,7 +74,7 @@ def compact(df: DataFrame) -> DataFrame:
     of a plan is too large rather than too small, and then nothing is merged.
     """
     spark = df.sparkSession
-    size = int(df._jdf.queryExecution().analyzed().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
     parts = max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES))
     return df.coalesce(parts) if parts < 1 << 20 else df
 
