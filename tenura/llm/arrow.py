@@ -73,6 +73,14 @@ def _typed(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table has not got, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -132,7 +132,7 @@ _CODECS: dict[tuple[str, str], Codec] = {}
 
 
 def _codec(model: bytes, pattern: str) -> Codec:
-    """The worker's codec for a vocabulary, made once."""
+    """The codec of a task for a vocabulary, made once and dropped when the task ends: workers outlive their tasks."""
     key = (hashlib.sha256(model).hexdigest(), pattern)
     if key not in _CODECS:
         from sentencepiece import sentencepiece_model_pb2 as pb
@@ -196,7 +196,7 @@ def encode_texts(
     last = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
     more = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in keep)
     schema = f"{id_col} {kind}{more}, n_tokens long, {last}"
-    return map_batches(source, run, schema, close=lambda: _codec(*held.value).known.clear(), rows=TEXTS)
+    return map_batches(source, run, schema, close=_CODECS.clear, rows=TEXTS)
 
 
 def decode_ids(
@@ -217,4 +217,4 @@ def decode_ids(
 
         return {id_col: text_column(batch, "_id"), "decoded": [decoded(v.as_py()) for v in text_column(batch, "_ids")]}
 
-    return map_batches(source, run, f"{id_col} {kind}, decoded binary")
+    return map_batches(source, run, f"{id_col} {kind}, decoded binary", close=_CODECS.clear)

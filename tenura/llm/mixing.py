@@ -18,6 +18,7 @@ columns are kept by :func:`sample`, also when they are named like a result colum
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,10 +63,11 @@ def complete_targets(cells: DataFrame, dimension: str, targets: DataFrame) -> Da
 def rake(
     cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """``cells`` with ``weight``: token shares whose marginals are the targets.
+    """``cells`` with ``weight``, token shares whose marginals are the targets, and ``gap``, how far they are from them at most.
 
     Each round fits the dimensions in order and is stored. It ends when the largest difference between a marginal
-    and its target before a round's fits is at most ``tolerance``, or after ``rounds``.
+    and its target before a round's fits is at most ``tolerance``, or after ``rounds``; targets that no weights of the present
+    cells can meet together leave a ``gap``.
     """
     total = cells.agg(F.sum("tokens").alias("_total"))
     state = cells.join(total, how="cross").withColumn("weight", F.coalesce(F.col("tokens") / F.col("_total"), F.lit(0.0))).drop("_total")
@@ -89,7 +91,16 @@ def rake(
         state = materialize(fitted, "cells")
         if (state.agg(F.max("_off")).first()[0] or 0.0) <= tolerance:
             break
-    return state.drop("_off", *[f"_s{i}" for i in range(len(shares))])
+    gap = reduce(DataFrame.union, [_gaps(state, dimension, share) for dimension, share in shares.items()])
+    gap = gap.agg(F.coalesce(F.max("_gap"), F.lit(0.0)).alias("gap"))
+    return state.drop("_off", *[f"_s{i}" for i in range(len(shares))]).join(gap, how="cross")
+
+
+def _gaps(state: DataFrame, dimension: str, share: Column) -> DataFrame:
+    """How far each value of a dimension is from its target."""
+    return state.groupBy(dimension).agg(F.sum("weight").alias("_w"), F.max(share).alias("_s")).select(
+        F.abs(F.col("_w") - F.col("_s")).alias("_gap")
+    )
 
 
 def calibrate(cells: DataFrame, budget: float | None = None) -> DataFrame:
@@ -128,6 +139,30 @@ def draw(id_col: str) -> Column:
     return F.shiftrightunsigned(key, 11).cast("double") / F.lit(float(1 << 53))
 
 
+def _matched(df, dimensions, powers, targets, budget, budget_share, text_col) -> tuple[DataFrame, str]:
+    """``df`` with, under a prefix that is returned, dimensions by number, ``tokens``, ``weight``, ``probability`` and ``gap``."""
+    at = "_mix_"
+    while any(c.lower().startswith(at) for c in df.columns):
+        at = f"_{at}"
+    names = list(dimensions)
+    added = {f"{at}{i}": column for i, column in enumerate(dimensions.values())}
+    rows = df.withColumns({**added, f"{at}tokens": token_count(F.col(text_col))})
+    # Only what the cells need is read for the counts.
+    cells = materialize(cell_table(rows, list(added), F.col(f"{at}tokens")), "mix-cells")
+    if budget_share is not None:
+        budget = budget_share * (cells.agg(F.sum("tokens")).first()[0] or 0.0)
+    wanted = {}
+    for i, name in enumerate(names):
+        given = (targets or {}).get(name)
+        if given is None:
+            given = tempered_targets(cells, f"{at}{i}", (powers or {})[name])
+        wanted[f"{at}{i}"] = given
+    ready = materialize(calibrate(rake(cells, wanted), budget), "mix-cells").select(
+        *[F.col(c).alias(f"{c}_") for c in added], *[F.col(c).alias(f"{at}{c}") for c in ("weight", "probability", "gap")]
+    )
+    return rows.join(ready, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in added], "left"), at
+
+
 def sample(
     df: DataFrame,
     dimensions: Mapping[str, Column],
@@ -138,36 +173,36 @@ def sample(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``df`` with the dimensions, ``n_tokens``, ``weight``, ``probability`` and ``sampled``.
+    """``df`` with the dimensions, ``n_tokens``, ``weight``, ``probability``, ``sampled`` and ``gap``, which replace columns of
+    these names.
 
     ``dimensions`` names the columns to rake and says how to get them. Their targets are tables of ``value`` and
-    ``share``, or ``powers`` of the present token sums. ``budget_share`` is a budget as a share of all tokens.
+    ``share``, or ``powers`` of the present token sums. ``budget_share`` is a budget as a share of all tokens. ``gap`` is the
+    largest difference between a marginal of the weights and its target.
     """
-    names = list(dimensions)
-    added = {f"_mix_{i}": column for i, column in enumerate(dimensions.values())}
-    rows = df.withColumns({**added, "_mix_tokens": token_count(F.col(text_col))})
-    # Only what the cells need is read for the counts.
-    cells = materialize(cell_table(rows, list(added), F.col("_mix_tokens")), "mix-cells")
-    if budget_share is not None:
-        budget = budget_share * (cells.agg(F.sum("tokens")).first()[0] or 0.0)
-    wanted = {}
-    for i, name in enumerate(names):
-        given = (targets or {}).get(name)
-        if given is None:
-            given = tempered_targets(cells, f"_mix_{i}", (powers or {})[name])
-        wanted[f"_mix_{i}"] = given
-    ready = materialize(calibrate(rake(cells, wanted), budget), "mix-cells").select(
-        *[F.col(c).alias(f"{c}_") for c in added], F.col("weight").alias("_mix_w"), F.col("probability").alias("_mix_p")
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in added]
-    met = rows.join(ready, same, "left")
-    out = {name: F.col(f"_mix_{i}") for i, name in enumerate(names)}
-    out |= {"n_tokens": F.col("_mix_tokens"), "weight": F.col("_mix_w"), "probability": F.col("_mix_p")}
-    out["sampled"] = draw(id_col) < F.col("_mix_p")
+    met, at = _matched(df, dimensions, powers, targets, budget, budget_share, text_col)
+    out = {name: F.col(f"{at}{i}") for i, name in enumerate(dimensions)}
+    out |= {"n_tokens": F.col(f"{at}tokens"), "weight": F.col(f"{at}weight"), "probability": F.col(f"{at}probability")}
+    out |= {"sampled": draw(id_col) < F.col(f"{at}probability"), "gap": F.col(f"{at}gap")}
     kept = [F.col(c) for c in df.columns if c not in out]
     return met.select(*kept, *[column.alias(name) for name, column in out.items()])
 
 
+def keep_sampled(
+    df: DataFrame,
+    dimensions: Mapping[str, Column],
+    powers: Mapping[str, float] | None = None,
+    targets: Mapping[str, DataFrame] | None = None,
+    budget: float | None = None,
+    budget_share: float | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``df`` that :func:`sample` draws, with their columns as they are."""
+    met, at = _matched(df, dimensions, powers, targets, budget, budget_share, text_col)
+    return met.where(draw(id_col) < F.col(f"{at}probability")).select(*df.columns)
+
+
 def content_type(text: Column) -> Column:
     """A coarse topic by marks in the whole text: table, contact, licence, noise or prose."""
     text = F.coalesce(text, F.lit(""))

@@ -21,9 +21,9 @@ those the kind listed first.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import re
-import sys
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm import bitmap
-from tenura.llm.arrow import keep_rows, map_batches, text_column
+from tenura.llm.arrow import keep_rows, map_batches, text_column, unused
 from tenura.llm.words import chunks, mix
 from tenura.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# A term counts at any distance from an entity.
-NEAR_WORDS = sys.maxsize
 SUPPORT = 2
 DISCLOSURE = 0.9
 
@@ -301,34 +299,31 @@ def redact(
     terms = _terms(df, _scanned(df, id_col, text_col), text_col, support, disclosure)
     calm = keep_rows(df, lambda column: ~_telling(column), text_col)
     telling = keep_rows(df, _telling, text_col)
-    keyed = map_batches_with_key(telling, text_col)
-    met = keyed.join(terms.withColumnRenamed("_terms", "_pii_terms"), F.col("_pii_key") == F.col("_text_key"), "left")
-    edited = _apply(met.drop("_text_key"), df, text_col)
-    return calm.unionByName(edited)
+    key, other, places = (unused(df, name) for name in ("_pii_key", "_text_key", "_pii_terms"))
+    met = _keyed(telling, text_col, key).join(terms.toDF(other, places), F.col(key) == F.col(other), "left")
+    return calm.unionByName(_apply(met, df, text_col, key, places))
 
 
-def map_batches_with_key(df: DataFrame, text_col: str) -> DataFrame:
-    """``df`` with the key of each text that holds an entity in ``_pii_key``."""
-    import copy
-
-    schema = copy.deepcopy(df.schema).add("_pii_key", "long")
+def _keyed(df: DataFrame, text_col: str, key: str) -> DataFrame:
+    """``df`` with the key of each text that holds an entity in the column ``key``."""
+    schema = copy.deepcopy(df.schema).add(key, "long")
 
     def run(batch):
         column = text_column(batch, text_col)
         out = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
         texts = (v.as_py() for v in column)
-        out["_pii_key"] = [_key(t) if t and base_spans(t) else None for t in texts]
+        out[key] = [_key(t) if t and base_spans(t) else None for t in texts]
         return out
 
     return map_batches(df, run, schema)
 
 
-def _apply(met: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+def _apply(met: DataFrame, df: DataFrame, text_col: str, key: str, places: str) -> DataFrame:
     names = df.columns
 
     def run(batch):
         out = {name: text_column(batch, name) for name in names}
-        keys, terms = text_column(batch, "_pii_key"), text_column(batch, "_pii_terms")
+        keys, terms = text_column(batch, key), text_column(batch, places)
         texts = [
             value.as_py() if not key.is_valid else _replaced(value.as_py(), term.as_py())
             for value, key, term in zip(out[text_col], keys, terms)

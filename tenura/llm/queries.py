@@ -48,7 +48,7 @@ def mix_dimensions() -> dict:
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     mixed = mixing.sample(documents, mix_dimensions(), powers=MIX_POWERS)
-    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled", "gap")
 
 
 def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

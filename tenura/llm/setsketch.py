@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm import bitmap
-from tenura.llm.arrow import keep_rows, map_batches, task, text_column
+from tenura.llm.arrow import keep_rows, map_batches, task, text_column, unused
 from tenura.llm.components import components
 from tenura.llm.words import Chunk, chunks, mix
 from tenura.session import materialize
@@ -392,11 +392,12 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     A bitmap of the dropped ids tells rows that are surely kept, so that few texts move to the exact join.
     """
     found = near_duplicates(df, id_col, text_col, size, percent)
-    dropped = materialize(found.where(~F.col("kept")).select(F.col(id_col).alias("_dropped")).distinct(), "dropped")
-    seen = bitmap.build(dropped.select(F.xxhash64("_dropped").alias("k")), "k")
+    bit, gone = unused(df, "_sketch_bit"), unused(df, "_dropped")
+    dropped = materialize(found.where(~F.col("kept")).select(F.col(id_col).alias(gone)).distinct(), "dropped")
+    seen = bitmap.build(dropped.select(F.xxhash64(gone).alias("k")), "k")
     held = df.sparkSession.sparkContext.broadcast(seen)
-    marked = df.withColumn("_sketch_bit", F.xxhash64(id_col))
-    sure = keep_rows(marked, lambda column: ~bitmap.holds(held.value, column.to_numpy()), "_sketch_bit")
-    others = keep_rows(marked, lambda column: bitmap.holds(held.value, column.to_numpy()), "_sketch_bit")
-    others = others.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
-    return sure.unionByName(others).drop("_sketch_bit")
+    marked = df.withColumn(bit, F.xxhash64(id_col))
+    sure = keep_rows(marked, lambda column: ~bitmap.holds(held.value, column.to_numpy()), bit)
+    others = keep_rows(marked, lambda column: bitmap.holds(held.value, column.to_numpy()), bit)
+    others = others.join(dropped, F.col(id_col) == F.col(gone), "left_anti")
+    return sure.unionByName(others).drop(bit)

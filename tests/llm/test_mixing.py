@@ -71,9 +71,29 @@ def test_odd_rows(odd, nothing):
     found = mixing.sample(odd, dimensions(), powers={"source": 0.5, "lang": 0.5})
     rows = found.collect()
     assert len(rows) == odd.count()
-    assert set(found.columns) == set(odd.columns) | {"n_tokens", "weight", "probability", "sampled"}
+    assert set(found.columns) == set(odd.columns) | {"n_tokens", "weight", "probability", "sampled", "gap"}
     assert all(0 <= r.probability <= 1 for r in rows)
     assert found.select("doc_id", "text", "sampled").distinct().count() == odd.select("doc_id", "text").distinct().count()
     assert mixing.sample(nothing, dimensions(), powers={"source": 0.5, "lang": 0.5}).count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_targets_that_can_not_be_met_leave_a_gap(spark):
+    rows = [(i, "w " * 10, "a" if i < 50 else "b", "x" if i < 50 else "y") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    tables = {"source": [("a", 0.5), ("b", 0.5)], "lang": [("x", 0.9), ("y", 0.1)]}
+    targets = {k: spark.createDataFrame(v, "value string, share double") for k, v in tables.items()}
+    found = mixing.sample(df, dimensions(), targets=targets).collect()
+    assert {round(r.gap, 6) for r in found} == {0.4}
+    met = mixing.sample(df, dimensions(), targets={**targets, "lang": spark.createDataFrame([("x", 0.5), ("y", 0.5)], "value string, share double")})
+    assert max(r.gap for r in met.collect()) < 1e-6
+
+
+def test_kept_rows_are_the_sampled_ones(documents):
+    wide = documents.withColumns({c: F.lit("own") for c in ("topic", "weight", "sampled", "_mix_0", "_MIX_tokens", "n_tokens", "gap")})
+    more = {"dimensions": {**dimensions(), "topic": mixing.content_type(F.col("text"))}, "powers": {"source": 0.5, "lang": 0.7, "topic": 0.5}}
+    drawn = {r.doc_id for r in mixing.sample(documents, **more).where("sampled").collect()}
+    kept = mixing.keep_sampled(wide, **more)
+    assert kept.columns == wide.columns and {r.doc_id for r in kept.collect()} == drawn and 0 < len(drawn) < documents.count()
+    assert kept.exceptAll(wide).isEmpty()
