@@ -2,6 +2,12 @@
 
 Each stage gets what the one before it kept, written as Parquet and read again. All but the last return the columns of
 ``documents``; the last returns id, language, source and the token ids.
+
+Edge cases: a null or empty text has too few words for the first stage and goes; the other stages, given one, keep it as it is, and
+it has no tokens. Nulls in other columns are values like others. Of rows with equal texts the one with the least id stays; a null id
+is near nothing and stays. Repeated ids are documents of their own. Texts of any length are looked at whole. Columns that
+``documents`` has besides, whatever their names, pass through all stages but the last; without ``n_chars`` none is made. An empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tenura.llm import bpe, mixing, pii, quality, setsketch
 from tenura.llm.queries import MIX_POWERS, mix_dimensions, prepared
-from tenura.session import materialize
+from tenura.session import compact, materialize
 
 # Share of the tokens that the mix may use.
 MIX_SHARE = 0.9
@@ -21,33 +27,35 @@ MIX_SHARE = 0.9
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the repetition rules."""
     prepared(spark)
-    return quality.keep_good(docs)
+    return compact(quality.keep_good(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, on five-word shingles at 0.8."""
     prepared(spark)
-    return setsketch.keep_first(docs)
+    return compact(setsketch.keep_first(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data and disclosing terms replaced."""
     prepared(spark)
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    clean = pii.redact(docs)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return compact(clean)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens meet tempered source, language and topic shares as far as they reach."""
     prepared(spark)
-    mixed = mixing.sample(docs, mix_dimensions(), powers=MIX_POWERS, budget_share=MIX_SHARE)
-    return mixed.where("sampled").select(*docs.columns)
+    return compact(mixing.keep_sampled(docs, mix_dimensions(), powers=MIX_POWERS, budget_share=MIX_SHARE))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
     prepared(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode_texts(docs, path, public_tokenizers.PATTERN, keep=["lang", "source"])
+    return compact(bpe.encode_texts(docs, path, public_tokenizers.PATTERN, keep=["lang", "source"]))
 
 
 STAGES = [
