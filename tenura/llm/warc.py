@@ -32,13 +32,14 @@ RECORD = (
 )
 
 _HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
+_TITLE, _TITLE_END = re.compile(r"(?i)<title\b"), re.compile(r"(?i)</title\s*>")
+# Elements that stand on lines of their own.
 _BREAK = re.compile(
-    r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre|dl|dt|dd|hr|main|aside)"
-    r"\b[^>]*>"
+    r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre|dl|dt|dd|hr|main|aside)\b"
 )
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
-_LINK = re.compile(r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_TAG = re.compile(r"<[a-zA-Z/!?]")
+_ANCHOR = re.compile(r"(?i)<a\b")
+_HREF = re.compile(r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _SPACES = re.compile(r"[ \t\r\f\v]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 _CHARSET = re.compile(r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9._:-]+)")
@@ -48,12 +49,50 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode("ascii")
 
 
+def tags(page: str):
+    """Start and end of each tag: from a ``<`` before a letter or one of ``/!?`` to the next ``>``, one look ahead for each.
+
+    What is never closed is text.
+    """
+    match = _TAG.search(page)
+    while match:
+        end = page.find(">", match.end()) + 1
+        if not end:
+            return
+        yield match.start(), end
+        match = _TAG.search(page, end)
+
+
+def _without_tags(page: str) -> str:
+    """The page with a line end for each block element's tag and nothing for the others."""
+    out, done = [], 0
+    for start, end in tags(page):
+        out.append(page[done:start])
+        if _BREAK.match(page, start, end):
+            out.append("\n")
+        done = end
+    return "".join([*out, page[done:]])
+
+
+def _title(page: str) -> str:
+    """What stands in the first title element."""
+    found = _TITLE.search(page)
+    begin = page.find(">", found.end()) + 1 if found else 0
+    last = _TITLE_END.search(page, begin) if begin else None
+    return page[begin : last.start()] if last else ""
+
+
+def links(page: str) -> list[str]:
+    """Targets of the anchors, entities resolved."""
+    found = (_HREF.search(page, start, end) for start, end in tags(page) if _ANCHOR.match(page, start, end))
+    return [html.unescape(m.group(1) or m.group(2) or m.group(3) or "").strip() for m in found if m]
+
+
 def plain_text(page: str) -> str:
     """Visible text: title and body, a line for each block element, entities resolved."""
-    title = _TITLE.search(page)
-    body = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
+    body = _without_tags(_HIDDEN.sub(" ", page))
     body = _LINES.sub("\n", _SPACES.sub(" ", html.unescape(body))).strip()
-    head = _SPACES.sub(" ", html.unescape(title.group(1))).strip() if title else ""
+    head = _SPACES.sub(" ", html.unescape(_title(page))).strip()
     return f"{head}\n{body}".strip()
 
 
@@ -115,11 +154,10 @@ def derive(record_id, uri, date, headers, block: bytes | None) -> list[dict]:
     text, charset = decoded(body, first.get("content-type", ""))
     source_digest = headers.get("WARC-Block-Digest") or digest(block)
     payload = headers.get("WARC-Payload-Digest") or digest(body)
-    links = [html.unescape(a or b or c).strip() for a, b, c in _LINK.findall(text)]
     told = [("source-status", status), ("source-charset", charset), ("source-length", len(body))]
     told += [("source-block-digest", source_digest), ("source-payload-digest", payload)]
     told += [(f"source-{name.lower()}", value) for name, value in fields]
-    told += [("outlink", link) for link in links]
+    told += [("outlink", link) for link in links(text)]
     fields_block = "".join(f"{name}: {_one_line(value)}\r\n" for name, value in told if value is not None)
     return [
         _record("metadata", source, uri, date, "application/warc-fields", fields_block, {}, source_digest, payload),

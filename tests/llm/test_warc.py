@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import time
 import base64
 import hashlib
 import uuid
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from tenura.llm import warc
 from tenura.llm.queries import CRAWL_DATE
 
@@ -92,3 +95,28 @@ def test_pages_become_responses(spark, tmp_path):
     held = "".join(p.read_bytes().decode() for p in (tmp_path / "out").glob("part-*"))
     wanted = sorted(r.warc for r in records.collect())
     assert held.count("WARC/1.1\r\n") == 6 and all(f"{w}\r\n\r\n" in held for w in wanted)
+
+
+PIECES = ["<a ", "<a href=", "<", "<title>", "<!--", "</script", "<script>", '<a href="', "< >", "<p", "&lt;", "<a href='x", "</", "<b>x</b>"]
+
+
+@pytest.mark.parametrize("piece", PIECES)
+def test_long_pages_are_read_once(piece):
+    """Ten times the page takes about ten times as long, whatever is never closed."""
+    times = []
+    for n in (20_000, 200_000):
+        page, start = piece * n, time.process_time()
+        warc.plain_text(page), warc.links(page)
+        times.append(time.process_time() - start)
+    assert times[1] < 40 * max(times[0], 0.01)
+
+
+def test_tags_titles_and_links():
+    page = (
+        "<html><head><title lang=en>A &amp; B</title></head><body><P>one<br>two <b>bold</b> a < b <a href='/x?a=1&amp;b=2'>x</a>"
+        '<a class=k HREF="http://y.org/">y</a><a name=z>z</a><abbr href=no>w</abbr><a href=plain>v</a><!-- <a href=gone> --></body> 1 <2'
+    )
+    assert warc.links(page) == ["/x?a=1&b=2", "http://y.org/", "plain"]
+    assert warc.plain_text(page) == "A & B\none\ntwo bold a < b xyzwv 1 <2"
+    assert warc.plain_text("<title>never closed <p>text") == "never closed\ntext"
+    assert warc.plain_text("x <unclosed tag") == "x <unclosed tag"
