@@ -10,13 +10,29 @@ WITH RECURSIVE rules (host, path, verdict) AS (
     ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
 known AS (SELECT page_id, url, html, split_part(url, '://', 1) AS scheme FROM pages WHERE contains(url, '://')),
 tags AS (
-  SELECT url, list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'),
-      lambda t: regexp_matches(t, '(?is)\\brel\\s*=\\s*["'']?canonical\\b'))[1] AS link,
-    list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*>'),
-      lambda t: regexp_matches(t, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b'))[1] AS meta FROM known),
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^<>]*>')) AS tag FROM known),
+targets AS (
+  SELECT url, trim(regexp_replace(CASE
+      WHEN lower(tag) LIKE '<link%' AND (list_contains(string_split(lower(regexp_extract(tag, '(?is)\\brel\\s*=\\s*"([^"]*)', 1)), ' '),
+          'canonical') OR list_contains(string_split(lower(regexp_extract(tag, '(?is)\\brel\\s*=\\s*''([^'']*)', 1)), ' '), 'canonical')
+          OR regexp_matches(tag, '(?is)\\brel\\s*=\\s*canonical\\b'))
+        THEN concat(regexp_extract(tag, '(?is)\\bhref\\s*=\\s*"([^"]*)', 1), regexp_extract(tag, '(?is)\\bhref\\s*=\\s*''([^'']*)', 1),
+          regexp_extract(tag, '(?is)\\bhref\\s*=\\s*([^\\s"''>]+)', 1))
+      WHEN lower(tag) LIKE '<meta%' AND regexp_matches(tag, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
+        THEN regexp_extract(tag, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1) END, '(?i)&(?:amp|#38|#x26);', '&', 'g')) AS t FROM tags),
+parts AS (
+  SELECT url, t, split_part(url, '://', 1) AS scheme, regexp_extract(url, '^.*?(://[^/?#]*)', 1) AS place,
+    regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) AS own, regexp_extract(t, '^[^?#]*') AS p FROM targets
+  WHERE t <> '' AND NOT starts_with(t, '#')),
+merged AS (
+  SELECT *, CASE WHEN starts_with(p, '/') THEN p WHEN p = '' THEN own
+      ELSE coalesce(nullif(regexp_extract(own, '^.*/'), ''), '/') || p END AS m FROM parts),
 linked AS (
-  SELECT url AS a, regexp_extract(link, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1) AS b FROM tags
-  UNION ALL SELECT url, regexp_extract(meta, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1) FROM tags),
+  SELECT url AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN t WHEN starts_with(t, '//') THEN scheme || ':' || t
+    ELSE scheme || place || CASE WHEN m = '' THEN '' ELSE array_to_string(list_reduce(string_split(m, '/')[2:], lambda done, x:
+      CASE WHEN x = '..' THEN done[1:greatest(len(done) - 1, 1)] WHEN x = '.' THEN done ELSE list_append(done, x) END, ['']), '/')
+      || CASE WHEN string_split(m, '/')[-1] IN ('.', '..') THEN '/' ELSE '' END END || substr(t, length(p) + 1) END AS b
+  FROM merged),
 named AS (
   SELECT DISTINCT url, substr(url, strpos(url, '://') + 3) AS rest
   FROM (SELECT url FROM known UNION ALL SELECT b FROM linked WHERE contains(b, '://')) x),

@@ -99,3 +99,45 @@ def test_hosts_and_paths(spark):
     rows = spark.createDataFrame([("a://B.c/p/q?x#y",), ("x://y://z/",), ("http://h\n/p",)], "url string")
     got = rows.select(urls.host_of(F.col("url")), urls.path_of(F.col("url"))).collect()
     assert [tuple(r) for r in got] == [("b.c", "/p/q"), ("y:", "//z/"), ("h\n", "/p")]
+
+
+TARGETS = [
+    "http://h.org/x", "//h.org/x?y#z", "/x/../y", "x", "./x/", "../x", "../../../x", "?p=1", "x?a=/../b", "..", ".", "x/./y/../z",
+    "/", "https://h.org",
+]
+
+
+def test_targets_are_resolved_on_the_page(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a.net/fr/deep/page.html?q=1#f", "https://A.net/fr/", "http://a.net/en"]
+    rows = [(b, t) for b in bases for t in TARGETS]
+    df = spark.createDataFrame(rows, "base string, target string")
+    found = df.select("base", "target", urls.resolved(F.col("base"), F.col("target")).alias("url")).collect()
+    assert [r.url for r in found] == [urljoin(b, t) for b, t in rows]
+    none = spark.createDataFrame([("http://a.net/x", t) for t in ("", "#top", "mailto:a@b.org", "javascript:void(0)")], "base string, target string")
+    assert {r[0] for r in none.select(urls.resolved(F.col("base"), F.col("target"))).collect()} == {None}
+    bare = spark.createDataFrame([("http://a.net", "x"), ("http://a.net", "/x"), ("http://a.net", "?y")], "base string, target string")
+    assert [r[0] for r in bare.select(urls.resolved(F.col("base"), F.col("target"))).collect()] == ["http://a.net/x", "http://a.net/x", "http://a.net?y"]
+
+
+def test_block_reaches_relative_and_escaped_links(spark):
+    pages = [
+        ("http://a.net/fr/x", "<link rel=canonical href='/en/x'>"),
+        ("http://a.net/fr/y", '<LINK REL="alternate canonical" HREF="http://a.net/en/y?p=1&amp;q=2">'),
+        ("http://a.net/fr/z", '<link rel="stylesheet" href="/css"><link rel="canonical" href="../de/z"><meta http-equiv="refresh" content="0;url=//b.org/z">'),
+        ("http://a.net/en/x", None), ("http://a.net/en/y?p=1&q=2", ""), ("http://a.net/de/z", "<link "), ("http://b.org/z", "<meta " * 50_000),
+        ("http://a.net/css", ""),
+    ]
+    rules = spark.createDataFrame(URL_RULES, RULES)
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    verdict = {r.page_id: r.verdict for r in urls.judge_pages(df, rules).collect()}
+    assert verdict == dict.fromkeys(range(7), "block") | {7: "allow"}
+    from checks.compare import differences
+    import duckdb
+    from tenura.llm.queries import ORACLES
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [(i, *p) for i, p in enumerate(pages)])
+    assert differences(urls.judge_pages(df, rules), con, ORACLES["op2_url_filters"]) is None
