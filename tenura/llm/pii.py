@@ -298,20 +298,19 @@ def redact(
     """
     terms = _terms(df, _scanned(df, id_col, text_col), text_col, support, disclosure)
     calm = keep_rows(df, lambda column: ~_telling(column), text_col)
-    telling = keep_rows(df, _telling, text_col)
     key, other, places = (unused(df, name) for name in ("_pii_key", "_text_key", "_pii_terms"))
-    met = _keyed(telling, text_col, key).join(terms.toDF(other, places), F.col(key) == F.col(other), "left")
+    met = _keyed(df, text_col, key).join(terms.toDF(other, places), F.col(key) == F.col(other), "left")
     return calm.unionByName(_apply(met, df, text_col, key, places))
 
 
 def _keyed(df: DataFrame, text_col: str, key: str) -> DataFrame:
-    """``df`` with the key of each text that holds an entity in the column ``key``."""
+    """The rows that may hold an entity, with the key of each text that does in the column ``key``."""
     schema = copy.deepcopy(df.schema).add(key, "long")
 
     def run(batch):
-        column = text_column(batch, text_col)
+        batch = batch.filter(pa.array(_telling(text_column(batch, text_col)), type=pa.bool_()))
         out = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        texts = (v.as_py() for v in column)
+        texts = (v.as_py() for v in text_column(batch, text_col))
         out[key] = [_key(t) if t and base_spans(t) else None for t in texts]
         return out
 
