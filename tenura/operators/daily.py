@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.functions.ordered import HOT_ROWS, RunLast, ordered
+from tenura.functions.ordered import HOT_ROWS, Lead, RunLast, RunMax, ordered
 from tenura.operators.features import PLAYS, SECONDS_PER_HOUR
 from tenura.operators.sequence import transaction_order
 
@@ -65,29 +65,77 @@ def ffill_transactions(
 
     With ``stop_at_expiry`` only to days before the carried expiry. With ``payments``, days before a user's
     first payment in ``daily`` get the fields of the last payment before the user's first day; it is also where
-    hot users are looked for.
+    hot users are looked for. Those payments are rows of the same stream, so ``daily`` is read once.
     """
     carried = list(dict.fromkeys([*columns, expire_column] if stop_at_expiry else columns))
     order = ("date", *[c for c in transaction_order(daily) if c in daily.columns])
+    own = F.when(F.col(marker).isNotNull(), F.struct(*carried))
 
     def steps(rows):
-        rows = rows.derive(_payment=F.when(F.col(marker).isNotNull(), F.struct(*carried)))
-        return rows.add(_last=RunLast("_payment"))
-
-    rows = ordered(daily, user, order, steps, hot_rows=hot_rows, counted=payments)
+        return rows.derive(_payment=own).add(_last=RunLast("_payment"))
+
+    def steps_with_earlier(rows):
+        # Until a user's first day, payments of the other table count; from then on, those of the days.
+        rows = rows.add(_begun=RunMax("_is_day"))
+        return rows.derive(_payment=F.when(F.col("_is_day") == 1, own).when(F.col("_begun") == 0, own)).add(_last=RunLast("_payment"))
+
+    if payments is None:
+        rows = ordered(daily, user, order, steps, hot_rows=hot_rows)
+    else:
+        days = daily.withColumn("_is_day", F.lit(1))
+        known = set(daily.columns)
+        earlier = payments.where(F.col(marker).isNotNull()).withColumn("date", F.col(marker)).withColumn("_is_day", F.lit(0))
+        stream = days.unionByName(earlier.select(*[c for c in earlier.columns if c in known or c == "_is_day"]), allowMissingColumns=True)
+        stream = stream.withColumn("_after", 1 - F.col("_is_day"))
+        rows = ordered(stream, user, ("date", "_after", *order[1:]), steps_with_earlier, hot_rows=hot_rows, counted=payments)
+        rows = rows.where("_is_day = 1")
     last = F.col("_last")
-    if payments is not None:
-        begins = daily.groupBy(user).agg(F.min("date").alias("_begins"))
-        earlier = payments.join(begins, user).where(F.col(marker) < F.col("_begins"))
-        by = F.struct(*transaction_order(payments))
-        start = earlier.groupBy(user).agg(F.max_by(F.struct(*carried), by).alias("_before"))
-        rows, last = rows.join(start, user, "left"), F.coalesce("_last", "_before")
     if stop_at_expiry:
         last = F.when(F.col("date") < last.getField(expire_column), last)
     filled = {c: last.getField(c) for c in columns}
     return rows.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in daily.columns])
 
 
+def payment_intervals(
+    payments: DataFrame, user: str = "user_id", marker: str = "transaction_date", hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """Payments that hold for a day or more, with ``valid_from`` and ``valid_to`` (exclusive, NULL for a user's last).
+
+    A payment holds from its day until the day of the next one; of several on one day, the last holds. Rows without a date
+    never hold.
+    """
+    dated = payments.where(F.col(marker).isNotNull()).withColumn("valid_from", F.col(marker))
+    order = ("valid_from", *[c for c in transaction_order(payments) if c in payments.columns])
+    rows = ordered(dated, user, order, lambda rows: rows.add(valid_to=Lead("valid_from")), hot_rows=hot_rows)
+    return rows.where(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
+
+
+def daily_payments(
+    payments: DataFrame,
+    start: str,
+    end: str,
+    columns: Sequence[str],
+    stop_at_expiry: bool = False,
+    expire_column: str = "membership_expire_date",
+    user: str = "user_id",
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """For each user and day from ``start`` to ``end`` the ``columns`` of the payment that holds, if one does.
+
+    Intervals are cut to the range before they are unfolded, so a payment makes no more rows than it has days in the
+    range, and what held before the first day is there without a lookup. With ``stop_at_expiry`` a payment holds no longer than to
+    the day before its expiry. Joins with usage on (user, day) complete a grid.
+    """
+    held = payment_intervals(payments, user, hot_rows=hot_rows)
+    beyond = F.date_add(_day(end), 1)
+    ends = [F.coalesce("valid_to", beyond), beyond]
+    if stop_at_expiry:
+        ends.append(F.coalesce(expire_column, _day(start)))
+    cut = held.withColumns({"_a": F.greatest("valid_from", _day(start)), "_b": F.least(*ends)}).where(F.col("_a") < F.col("_b"))
+    days = F.sequence("_a", F.date_sub("_b", 1))
+    return cut.select(user, F.explode(days).alias("date"), *columns)
+
+
 def clip_date_floor(df: DataFrame, column: str, floor: str) -> DataFrame:
     """Dates before ``floor`` become ``floor``; NULL stays."""
     return df.withColumn(column, F.when(F.col(column) < _day(floor), _day(floor)).otherwise(F.col(column)))
