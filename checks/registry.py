@@ -12,6 +12,7 @@ from checks.world import World
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+COLUMNS: dict[str, str] = {}
 
 
 def typed(df: DataFrame, columns: str) -> DataFrame:
@@ -32,6 +33,13 @@ def check(
     """Register a query and, if there is one, its oracle over the CTEs ``needs``."""
     if name in QUERIES:
         raise ValueError(f"query {name} is registered twice")
+    COLUMNS[name] = columns
     QUERIES[name] = lambda spark, sf_dir: typed(build(World(spark, sf_dir)), columns)
     if body is not None:
         ORACLES[name] = oracle(body, columns, *needs)
+
+
+def check_same(name: str, other: str, build: Callable[[World], DataFrame]) -> None:
+    """Register another way to the result of the query ``other``, under the same oracle."""
+    check(name, COLUMNS[other], build)
+    ORACLES[name] = ORACLES[other]

@@ -12,7 +12,7 @@ from checks.features_and_reports import _ML, _USAGE, _d
 from checks.registry import check
 from checks.tables_and_cohort import LOGS
 from checks.world import World, survivors
-from tenura.functions import sampling
+from tenura.functions import placement, sampling
 from tenura.operators import cohort, features, reports
 from tenura.plans.export import Exported, export_run
 from tenura.session import materialize
@@ -202,3 +202,21 @@ check(
     ),
     "ul",
 )
+
+check(
+    "column_medians",
+    "s:column_name d:fraction,value",
+    lambda w: placement.column_percentiles(w.ml, features.FEATURES, [0.5, 0.9]),
+    """SELECT column_name, unnest([0.5, 0.9]) AS fraction, unnest(quantile_cont(v, [0.5, 0.9])) AS value
+    FROM (UNPIVOT (SELECT COLUMNS(* EXCLUDE (user_id, is_churn))::DOUBLE FROM ml) ON COLUMNS(*) INTO NAME column_name VALUE v) u
+    GROUP BY 1""",
+    "ml",
+)
+check(
+    "usage_medians_by_user",
+    "b:user_id d:fraction,value",
+    lambda w: placement.exact_percentiles(w.logs, "total_secs", [0.25, 0.5], "user_id"),
+    """SELECT user_id, unnest([0.25, 0.5]) AS fraction, unnest(quantile_cont(total_secs, [0.25, 0.5])) AS value
+    FROM ul WHERE total_secs IS NOT NULL GROUP BY 1""",
+    "ul",
+)

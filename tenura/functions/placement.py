@@ -44,8 +44,8 @@ def exact_percentiles(
     """Exact linearly interpolated percentiles of ``column`` as rows ``([group], fraction, value)``.
 
     The value domain may be as large as the table: equal values are counted first, the counts are
-    range-partitioned, and only the partitions holding a wanted rank are read again. ``group`` is for
-    a handful of groups, whatever their sizes. ``weight`` says how often a row counts.
+    range-partitioned, and only the partitions holding a wanted rank are read again. Groups may be few and large or many:
+    the wanted ranks are a table that the places are joined with. ``weight`` says how often a row counts.
     """
     groups = [group] if group else []
     counts = df.where(F.col(column).isNotNull()).groupBy(*groups, column).agg(
@@ -71,12 +71,12 @@ def exact_percentiles(
         .select(*groups, "fraction", "_rank", "_part", (F.col("_seek") - F.col("_before")).alias("_seek"))
         .distinct()
     )
-    # At most two rows per group and fraction.
-    hit = F.broadcast(wanted.select(*groups, "_part").distinct())
+    # At most two rows per group and fraction; whether that is little enough to broadcast is for the planner to see.
+    hit = wanted.select(*groups, "_part").distinct()
     cell = [*groups, "_part"]
     up_to = Window.partitionBy(*cell).orderBy("_nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = places.join(hit, cell, "left_semi").withColumn("_upto", F.sum("_n").over(up_to))
-    found = inside.join(F.broadcast(wanted), cell).where(
+    found = inside.join(wanted, cell).where(
         (F.col("_seek") < F.col("_upto")) & (F.col("_seek") >= F.col("_upto") - F.col("_n"))
     )
     value = F.col(column).cast("double")
@@ -86,6 +86,17 @@ def exact_percentiles(
     )
 
 
+def column_percentiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    """Exact percentiles of many columns by one sort: ``column_name``, ``fraction``, ``value``.
+
+    Rows are unfolded into (column, value) and counted inside the tasks before anything moves. Columns without values have no row.
+    """
+    named = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])
+    values = df.select(F.inline(named)).where(F.col("x").isNotNull())
+    counts = values.groupBy("column_name", "x").agg(F.count(F.lit(1)).alias("_times"))
+    return exact_percentiles(counts, "x", fractions, "column_name", weight="_times")
+
+
 def exact_median(df: DataFrame, column: str, name: str = "median") -> DataFrame:
     """One row holding the exact median (NULL when there is no value)."""
     return exact_percentiles(df, column, [0.5]).agg(F.max("value").alias(name))

@@ -135,3 +135,50 @@ def test_correlations_of_a_wide_table(spark, handling):
         expected = wanted.loc[r.col_a, r.col_b]
         assert r.r is None if r.col_b == "c30" else r.r == pytest.approx(expected, abs=1e-9)
         assert r.n_rows == len(table)
+
+
+SINGLE = {
+    "sign_dist": reports.plan_days_sign_dist, "sign_mix": reports.user_sign_mix, "buckets": reports.plan_days_buckets,
+    "vs_actual": reports.plan_vs_actual, "by_plan": reports.plan_days_by_plan, "by_cancel": reports.plan_days_by_cancel,
+    "negative": reports.negative_patterns,
+}
+
+
+def test_one_report_holds_what_seven_say(spark):
+    import random
+
+    rng = random.Random(4)
+
+    def pick(*values):
+        return rng.choice(values)
+
+    rows = [
+        (pick(1, 2, 3, 4, 5, None), pick(7, 30, 31, None), pick(-400, -30, -1, 0, 1, 30, 31, 500, None), pick(0, 1, None))
+        for _ in range(150)
+    ]
+    seq = spark.createDataFrame(rows, "user_id long, payment_plan_days long, actual_plan_days long, is_cancel long")
+    for given in (seq, seq.where("user_id = 1"), seq.limit(0), seq.where("actual_plan_days is null")):
+        found = reports.plan_days_tables(given, top=100)
+        assert set(found) == set(SINGLE)
+        for name, single in SINGLE.items():
+            wanted = single(given, 100) if name in ("by_plan", "negative") else single(given)
+            assert found[name].columns == wanted.columns
+            assert rows_of(found[name]) == rows_of(wanted), name
+
+
+def test_one_report_scans_once_and_unfolds_counts(spark, tmp_path):
+    import tenura.operators.reports as module
+
+    seq = spark.range(200).selectExpr("id % 9 user_id", "30L payment_plan_days", "id % 5 - 2 actual_plan_days", "id % 2 is_cancel")
+    seq.write.parquet(str(tmp_path / "seq"))
+    stored, plans = spark.read.parquet(str(tmp_path / "seq")), []
+    kept = module.materialize
+    module.materialize = lambda df, label: plans.append(df) or kept(df, label)
+    try:
+        reports.plan_days_tables(stored)
+    finally:
+        module.materialize = kept
+    (cells,) = plans
+    text = cells._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert text.count("FileScan") == 1 and text.count("Expand") == 1
+    assert text.index("Expand") < text.index("Exchange hashpartitioning(user_id")
