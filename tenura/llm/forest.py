@@ -2,8 +2,9 @@
 
 Each tree halves the space by hyperplanes between two random vectors, at the median. The planes are fitted on a sample of at
 most ``SAMPLE`` vectors; every vector is indexed, by one leaf per tree. A query walks all trees through one
-priority queue, always into the branch whose planes it is least far beyond, until it has met its share of leaves. Each leaf then
-compares its vectors with its queries exactly, in double precision, and keeps the nearest of each query, and the nearest
+priority queue, always into the branch whose planes it is least far beyond, until it has met its share of leaves. The share is
+learned: ``CHECKS`` vectors of the sample look for their nearest in the sample, and the leaves they have to meet for ``RECALL`` of
+them are a few in a thousand where vectors lie in clusters, and some in a hundred where they are random. Each leaf then compares its vectors with its queries exactly, in double precision, and keeps the nearest of each query, and the nearest
 of all leaves are the answer.
 
 Equal vectors are one entry that carries the least ids that an answer can need, so copies neither fill leaves nor answers.
@@ -29,10 +30,11 @@ from tenura.llm.arrow import map_batches, text_column
 from tenura.session import materialize
 
 TREES = 16
-DEPTH = 7
+DEPTH = 8
 LEAF = 16
-SHARE = 0.1
 SAMPLE = 16_384
+# Share of the neighbours that the visited leaves are to hold, and the sample's vectors that tell how many leaves that takes.
+RECALL, CHECKS = 0.96, 128
 BLOCK_VECTORS = 16_384
 BLOCK_QUERIES = 2_048
 SEED = 8
@@ -98,6 +100,26 @@ class Forest:
         return found
 
 
+def needed_share(forest: Forest, sample: np.ndarray, k: int, recall: float = RECALL, checks: int = CHECKS, seed: int = SEED) -> float:
+    """Share of all leaves at which that share of the ``k`` nearest of some of the sample's vectors has been met."""
+    if len(sample) < 2:
+        return 1.0
+    trees, leaves = len(forest.cuts), forest.leaves
+    chosen = np.random.default_rng(seed).choice(len(sample), min(checks, len(sample)), replace=False)
+    at, none = forest.index(sample), np.zeros((trees, leaves), dtype=np.int64)
+    met = []
+    for i in chosen:
+        distance = ((sample - sample[i]) ** 2).sum(axis=1)
+        distance[i] = np.inf
+        nearest_to = np.argpartition(distance, min(k, len(sample) - 1) - 1)[: min(k, len(sample) - 1)]
+        rank = np.empty((trees, leaves), dtype=np.int64)
+        order = np.array(forest.search(sample[i], none, 1.0, 0))
+        rank[order[:, 0], order[:, 1]] = np.arange(1, len(order) + 1)
+        met.append(rank[np.arange(trees), at[nearest_to]].min(axis=1))
+    met = np.sort(np.concatenate(met))
+    return float(met[int(np.ceil(recall * len(met))) - 1]) / (trees * leaves)
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
@@ -118,12 +140,14 @@ def nearest(
     k: int = 10,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    share: float = SHARE,
+    share: float | None = None,
     sample: int = SAMPLE,
+    recall: float = RECALL,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` (Euclidean distance) of the ``k`` nearest found for each query.
 
-    ``is_query`` is a condition on the column ``id``. A query's own row is no candidate for it.
+    ``is_query`` is a condition on the column ``id``. A query's own row is no candidate for it. ``share`` of all leaves are
+    visited, without one as many as hold ``recall`` of the neighbours inside the sample.
     """
     spark = df.sparkSession
     rows, width = _valid(df, id_col, vector_col)
@@ -136,7 +160,10 @@ def nearest(
     n = entries.count()
     part = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 0.9 * sample / max(1, n)))
     picked = entries.where(part if n > sample else F.lit(True)).select("vector").limit(sample).collect()
-    fitted = Forest(np.array([r["vector"] for r in picked], dtype=np.float64).reshape(len(picked), width))
+    drawn = np.array([r["vector"] for r in picked], dtype=np.float64).reshape(len(picked), width)
+    fitted = Forest(drawn)
+    if share is None:
+        share = needed_share(fitted, drawn, k, recall)
     forest = spark.sparkContext.broadcast(fitted)
 
     def leaf_of(batch):

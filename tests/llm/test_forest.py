@@ -88,3 +88,43 @@ def test_queue_visits_leaves_by_margin():
     own = trees.index(sample[7:8])[0]
     for tree in range(4):
         assert [leaf for t, leaf in visited if t == tree][0] == own[tree]
+
+
+def comparisons(vectors, k=10, queries=40):
+    """Vectors compared for a query, as a share of all, and the recall, with a forest as the query fits it."""
+    rng = np.random.default_rng(0)
+    sample = vectors[rng.choice(len(vectors), min(len(vectors), 4_096), replace=False)]
+    trees = forest.Forest(sample)
+    share = forest.needed_share(trees, sample, k)
+    at = trees.index(vectors)
+    sizes = np.stack([np.bincount(at[:, t], minlength=trees.leaves) for t in range(at.shape[1])])
+    compared = hits = 0
+    for q in rng.choice(len(vectors), queries, replace=False):
+        distance = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        distance[q] = np.inf
+        wanted = np.argsort(distance)[:k]
+        visited = trees.search(vectors[q], sizes, share, 4 * (k + 1))
+        compared += sum(int(sizes[t, leaf]) for t, leaf in visited)
+        seen = np.zeros((at.shape[1], trees.leaves), dtype=bool)
+        seen[tuple(np.array(visited).T)] = True
+        hits += int(seen[np.arange(at.shape[1]), at[wanted]].any(axis=1).sum())
+    return compared / queries / len(vectors), hits / queries / k
+
+
+def test_search_reads_less_than_a_scan():
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((300, 48)) * 5
+    clustered = np.concatenate([c + rng.standard_normal((40, 48)) for c in centres])
+    read, recall = comparisons(clustered)
+    assert recall >= 0.9 and read < 0.15
+    # Random vectors can hardly be told apart by planes: less than a scan, but not by much.
+    read, recall = comparisons(rng.standard_normal((12_000, 48)))
+    assert recall >= 0.9 and read < 1.0
+    read, recall = comparisons(rng.standard_normal((12_000, 6)))
+    assert recall >= 0.9 and read < 0.2
+
+
+def test_share_of_few_or_equal_vectors():
+    for sample in (np.zeros((0, 3)), np.ones((1, 3)), np.ones((40, 3)), np.eye(3)):
+        trees = forest.Forest(sample, trees=3, depth=2, leaf=4)
+        assert 0 < forest.needed_share(trees, sample, 10) <= 1
