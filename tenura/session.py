@@ -28,6 +28,7 @@ START_SETTINGS = {
 }
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 100_000
 # A stored table has no more files than a few per core, or than its bytes fill.
 FILES_PER_CORE, FILE_BYTES = 4, 16 * 1024 * 1024
 
@@ -52,19 +53,29 @@ def build_session(app: str = "tenura", master: str | None = None, input_bytes: i
 
 
 def shuffle_partitions(input_bytes: int) -> int:
-    """Upper number of shuffle partitions; adaptive execution merges the small ones."""
-    return max(200, -(-input_bytes // TARGET_PARTITION_BYTES))
+    """Number of shuffle partitions; adaptive execution merges the small ones.
+
+    One per 128 MB, up to a number that the driver can keep track of: a shuffle of more is spilled in larger parts, and most
+    shuffles here carry a small part of the input.
+    """
+    return min(MAX_PARTITIONS, max(200, -(-input_bytes // TARGET_PARTITION_BYTES)))
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    Both are folders that all executors reach. Whatever the master, nothing goes to a machine's own temporary folder.
+    Where that is unset, a folder in the warehouse, if all executors can reach it: with a local master, or a warehouse in a
+    store of its own. On a cluster, a warehouse on the driver's disk is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    on_disk = warehouse.startswith("file:") or ":" not in warehouse
+    master = spark.conf.get("spark.master", "")
+    if on_disk and master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return f"{warehouse}/_scratch"
 
 
 def compact(df: DataFrame) -> DataFrame:
