@@ -93,7 +93,8 @@ def rake(
             break
     gap = reduce(DataFrame.union, [_gaps(state, dimension, share) for dimension, share in shares.items()])
     gap = gap.agg(F.coalesce(F.max("_gap"), F.lit(0.0)).alias("gap"))
-    return state.drop("_off", *[f"_s{i}" for i in range(len(shares))]).join(gap, how="cross")
+    # Stored, as the calibration reads it many times.
+    return materialize(state.drop("_off", *[f"_s{i}" for i in range(len(shares))]).join(gap, how="cross"), "cells")
 
 
 def _gaps(state: DataFrame, dimension: str, share: Column) -> DataFrame:
