@@ -6,12 +6,22 @@ only make it let more pass.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenura.llm.arrow import task
+from tenura.session import materialize
+
 BITS = 1 << 25  # 4 MB
 _BLOCK = 32_768  # bits of one aggregated piece
+_SLOTS = 1 << 17  # counters of one merged piece
+_FAN = 64  # pieces merged by one task
 
 
 def bit_of(key: Column, bits: int = BITS) -> Column:
@@ -45,3 +55,53 @@ def holds(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Flags of the keys whose bit is set."""
     at = bits_of(keys, len(bitmap) * 8)
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def build_frequent(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int) -> np.ndarray:
+    """The bitmap of the keys that ``keys_of`` yields ``least`` times or more (255 at most) over all batches of ``df``.
+
+    Each task counts its keys in ``BITS`` counters of one byte that stop at ``least``. A counter that keys share is the sum of
+    their counts, so no frequent key is missed. Counters are added piece by piece, ``_FAN`` tasks at a time; what reaches the
+    driver has the size of the bitmap.
+    """
+
+    def count(batches):
+        counts = np.zeros(BITS, dtype=np.uint8)
+        for batch in batches:
+            for keys in keys_of(batch):
+                at, n = np.unique(bits_of(keys), return_counts=True)
+                counts[at] = np.minimum(counts[at] + n, least)
+        part, packer = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=1)
+        for piece in range(BITS // _SLOTS):
+            held = counts[piece * _SLOTS : (piece + 1) * _SLOTS]
+            if held.any():
+                yield pa.RecordBatch.from_pydict({"piece": [piece], "part": [part], "held": [packer.compress(held.tobytes())]}, target)
+
+    def add(group: pa.Table) -> pa.Table:
+        counts, reader = np.zeros(_SLOTS, dtype=np.uint8), zstandard.ZstdDecompressor()
+        for held in group["held"]:
+            own = np.frombuffer(reader.decompress(held.as_buffer()), dtype=np.uint8)
+            counts = np.minimum(counts.astype(np.uint16) + own, least).astype(np.uint8)
+        held = zstandard.ZstdCompressor(level=1).compress(counts.tobytes())
+        return pa.Table.from_pydict({"piece": group["piece"][:1], "part": group["part"][:1], "held": [held]}, target)
+
+    def often(batches):
+        reader = zstandard.ZstdDecompressor()
+        for batch in batches:
+            tables = [np.frombuffer(reader.decompress(h.as_buffer()), dtype=np.uint8) for h in batch.column(2)]
+            bits = [np.packbits(t >= least, bitorder="little").tobytes() for t in tables]
+            yield pa.RecordBatch.from_pydict({"piece": batch.column(0), "part": batch.column(1), "held": bits}, target)
+
+    target = pa.schema([("piece", pa.int32()), ("part", pa.int64()), ("held", pa.binary())])
+    kind = "piece int, part long, held binary"
+    rows = materialize(df.mapInArrow(task(count), kind), "counters")
+    parts = (rows.agg(F.max("part")).first()[0] or 0) + 1
+    while parts > 1:
+        rows = rows.withColumn("part", F.floor(F.col("part") / _FAN))
+        rows = materialize(rows.groupBy("piece", "part").applyInArrow(add, kind), "counters")
+        parts = -(-parts // _FAN)
+    out = np.zeros(BITS // 8, dtype=np.uint8)
+    for row in rows.mapInArrow(task(often), kind).collect():
+        first = row["piece"] * (_SLOTS // 8)
+        out[first : first + _SLOTS // 8] = np.frombuffer(row["held"], dtype=np.uint8)
+    return out
