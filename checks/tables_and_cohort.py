@@ -127,6 +127,24 @@ check(
 )
 
 
+def _renamed_in_catalog(w: World) -> DataFrame:
+    folder = w.folder("tables")
+    name = "members_renamed_" + folder.rsplit("-", 1)[-1]
+    tables.copy_tables({"members": w.raw_members}, {"members": name}, overwrite=True, location=folder)
+    if not tables.rename_catalog_table(w.spark, name) or w.spark.catalog.tableExists(name):
+        raise ValueError(f"table {name} was not renamed")
+    return w.spark.table(f"{name}_v1")
+
+
+check(
+    "rename_catalog_table",
+    "s:msno b:user_id,city,bd s:gender b:registered_via,registration_init_time",
+    _renamed_in_catalog,
+    "SELECT * FROM raw_members",
+    "raw_members",
+)
+
+
 def _rekeyed(w: World) -> DataFrame:
     given = {"train": w.named(w.tv1), "transactions": w.named(w.tx), "members": w.raw_members}
     renamed = tables.rename_key_column(given)
