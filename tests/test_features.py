@@ -6,6 +6,7 @@ from tenura.operators import daily, features, membership
 from tenura.plans.preprocess import sequence_table
 from tenura.plans.training import training_run
 from tests.conftest import LOG_SCHEMA, SF_CHECK, day, rows_of
+from tests.test_plans import plan
 
 WINDOW = (str(day(50)), str(day(120)))
 
@@ -250,3 +251,16 @@ def test_usage_is_pruned_before_it_moves(spark, tmp_path):
     assert "GreaterThanOrEqual(date," in plan and "LessThan(date," in plan
     assert "LeftSemi" in plan
     assert rows_of(table) == rows_of(world.ml)
+
+
+def test_unfolded_days_are_not_broadcast(spark, tmp_path):
+    """A stored window is small, its days are not: with the usual threshold the join on them still sorts and merges."""
+    spark.createDataFrame(
+        [(u, day(0), day(300), 300) for u in range(40)],
+        "user_id long, log_start_date date, log_end_date date, membership_period long",
+    ).write.parquet(str(tmp_path / "last"))
+    spark.createDataFrame([(u, day(7), *PLAYS, 1, 60.0) for u in range(50)], LOG_SCHEMA).write.parquet(str(tmp_path / "logs"))
+    last, logs = (spark.read.parquet(str(tmp_path / n)) for n in ("last", "logs"))
+    found = features.logs_in_membership(features.daily_usage(logs), last)
+    assert "BroadcastHashJoin" not in plan(found) and "SortMergeJoin" in plan(found)
+    assert rows_of(found, "user_id", "days_before_expire") == sorted([(u, 293) for u in range(40)], key=repr)
