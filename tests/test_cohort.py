@@ -5,6 +5,7 @@ from tenura.operators import cohort, transform
 from tenura.plans.preprocess import PREVIOUS_COLUMNS, exclude, preprocess, sequence_table
 from tenura.sources import star_schema
 from tests.conftest import SF_CHECK, SF_SMALL, day, rows_of
+from tests.test_plans import plan
 
 
 @pytest.fixture
@@ -168,3 +169,23 @@ def test_more_tables_than_bits_in_a_long(spark):
     del tables["t69"]
     tables["t69"] = spark.createDataFrame([(2,)], "user_id long")
     assert cohort.common_users(tables).count() == 0
+
+
+@pytest.mark.parametrize(
+    "drop, kept",
+    [
+        (cohort.drop_plan_days_out_of_range, {2, None}),
+        (cohort.drop_cancel_before_prev_txn, {2, 3, None}),
+        (cohort.drop_cancel_before_prev2_expire, {2, 3, None}),
+        (cohort.drop_consecutive_cancels, {1, 2, 3, None}),
+    ],
+)
+def test_dropped_users_are_found_once_for_all_tables(payments, spark, drop, kept):
+    seq = payments([(1, 10, 40, 0, 30), (1, 35, 65, 0, 30), (1, 36, 20, 1, 30), (2, 10, 40, 0, 30), (3, 10, 600, 0, 30)])
+    seq = sequence_table(seq).drop(*PREVIOUS_COLUMNS)
+    ids = spark.createDataFrame([(u,) for u in (1, 2, 3, 3, None)], "user_id long")
+    tables = drop({"seq": seq.select("user_id"), "ids": ids, "more": ids}, seq)
+    # Rows of one table are not ordered again to find the users that it loses.
+    assert all("Window" not in plan(tables[name]) for name in ("ids", "more"))
+    assert {r.user_id for r in tables["ids"].collect()} == kept
+    assert {r.user_id for r in tables["seq"].collect()} == kept - {None}
