@@ -264,3 +264,14 @@ def test_unfolded_days_are_not_broadcast(spark, tmp_path):
     found = features.logs_in_membership(features.daily_usage(logs), last)
     assert "BroadcastHashJoin" not in plan(found) and "SortMergeJoin" in plan(found)
     assert rows_of(found, "user_id", "days_before_expire") == sorted([(u, 293) for u in range(40)], key=repr)
+
+
+def test_tables_of_users_are_not_broadcast(spark):
+    """Small files of members, payments and usage are many rows in the driver: with the usual threshold all are merged."""
+    from checks.world import World
+
+    world = World(spark, SF_CHECK)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) == 10 << 20
+    snapshot, table = features.payment_snapshot(world.members5, world.seq), world.ml
+    assert "Broadcast" not in plan(snapshot) and "Broadcast" not in plan(table)
+    assert "LeftSemi" in plan(table)
