@@ -7,7 +7,8 @@ would have to repeat documents, or meets a ``budget`` of tokens, then cells that
 The draw is a hash of the document id, so it is the same in every run.
 
 Documents are read once to be counted and once to be drawn; only cell sums move. Cells are a table as well: marginals
-are partial sums joined back, no dimension's cells meet in one task by design.
+are partial sums joined back, no dimension's cells meet in one task by design. What is summed and joined to its own sums is
+stored first, so that no plan holds the steps of another: unstored, each such join doubles the plan that the driver keeps.
 
 Edge cases: a null dimension value is a value of its own; a null or empty text has no tokens, and weight, probability
 and ``sampled`` of a cell without tokens are 0, 0 and false. A target share for a value without tokens is spread over
@@ -46,18 +47,19 @@ def cell_table(df: DataFrame, dimensions: Sequence[str], tokens: Column) -> Data
 
 
 def complete_targets(cells: DataFrame, dimension: str, targets: DataFrame) -> DataFrame:
-    """Target shares of the values that have tokens, summing to 1; other values share the rest as they do now."""
+    """Target shares of the values that have tokens, summing to 1; other values share the rest as they do now. Stored."""
     sums = cells.groupBy(F.col(dimension).alias("_v")).agg(F.sum("tokens").alias("_t")).where("_t > 0")
-    met = sums.join(targets, F.col("_v").eqNullSafe(F.col("value")), "left")
+    met = materialize(sums.join(targets, F.col("_v").eqNullSafe(F.col("value")), "left"), "shares")
     whole = met.agg(
         F.coalesce(F.sum("share"), F.lit(0.0)).alias("_given"),
         F.coalesce(F.sum(F.when(F.col("share").isNull(), F.col("_t"))), F.lit(0.0)).alias("_open"),
     )
     rest = F.greatest(1 - F.col("_given"), F.lit(0.0))
     share = F.coalesce("share", rest * F.col("_t") / F.col("_open"))
-    out = met.join(whole, how="cross").select("_v", share.alias("_s"))
+    out = materialize(met.join(whole, how="cross").select("_v", share.alias("_s")), "shares")
     total = out.agg(F.sum("_s").alias("_sum"))
-    return out.join(total, how="cross").select("_v", (F.col("_s") / F.col("_sum")).alias("_s")).where("_s > 0")
+    summed = out.join(total, how="cross").select("_v", (F.col("_s") / F.col("_sum")).alias("_s"))
+    return materialize(summed.where("_s > 0"), "shares")
 
 
 def rake(
@@ -65,7 +67,7 @@ def rake(
 ) -> DataFrame:
     """``cells`` with ``weight``, token shares whose marginals are the targets, and ``gap``, how far they are from them at most.
 
-    Each round fits the dimensions in order and is stored. It ends when the largest difference between a marginal
+    Each round fits the dimensions in order, every fit stored. It ends when the largest difference between a marginal
     and its target before a round's fits is at most ``tolerance``, or after ``rounds``; targets that no weights of the present
     cells can meet together leave a ``gap``.
     """
@@ -82,13 +84,14 @@ def rake(
         fitted = state.withColumn("_off", F.lit(0.0))
         for dimension, share in shares.items():
             have = fitted.groupBy(F.col(dimension).alias("_v")).agg(F.sum("weight").alias("_w"))
-            fitted = (
+            fitted = materialize(
                 fitted.join(have, F.col(dimension).eqNullSafe(F.col("_v")))
                 .withColumn("weight", F.when(F.col("_w") > 0, F.col("weight") * share / F.col("_w")).otherwise(F.lit(0.0)))
                 .withColumn("_off", F.greatest("_off", F.abs(share - F.col("_w"))))
-                .drop("_v", "_w")
+                .drop("_v", "_w"),
+                "cells",
             )
-        state = materialize(fitted, "cells")
+        state = fitted
         if (state.agg(F.max("_off")).first()[0] or 0.0) <= tolerance:
             break
     gap = reduce(DataFrame.union, [_gaps(state, dimension, share) for dimension, share in shares.items()])

@@ -97,3 +97,18 @@ def test_kept_rows_are_the_sampled_ones(documents):
     kept = mixing.keep_sampled(wide, **more)
     assert kept.columns == wide.columns and {r.doc_id for r in kept.collect()} == drawn and 0 < len(drawn) < documents.count()
     assert kept.exceptAll(wide).isEmpty()
+
+
+def test_stored_steps_keep_plans_small(documents, monkeypatch):
+    """No stored plan reads a table once for every way through the steps before it."""
+    read = []
+
+    def counted(df, label="stage", store=mixing.materialize):
+        read.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return store(df, label)
+
+    monkeypatch.setattr(mixing, "materialize", counted)
+    dims = {**dimensions(), "topic": mixing.content_type(F.col("text")), "long": F.length("text") > 500}
+    mixing.sample(documents, dims, powers=dict.fromkeys(dims, 0.7))
+    # The cells with their total and the shares of each dimension are the widest.
+    assert max(read) <= 2 + len(dims)
